@@ -27,7 +27,7 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Arrays of one byte-level BPE file (tokenizers' .json): bounded by the vocabulary, so it is broadcast."""
+    """Arrays of one byte-level BPE file (tokenizers' .json): bounded by the vocabulary, so it travels with the job."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -181,10 +181,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
     One output row per input row, repeated rows included. A null text counts as empty (0 tokens); a null id stays null;
     other columns of docs are not read. Texts are whole, special strings count as their one token.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
+    v = Vocabulary(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, pattern = shared.value, regex.compile(PATTERN)
+        pattern = regex.compile(PATTERN)
         for batch in slices(batches, 16 << 20):
             texts = texts_of(batch)
             distinct, codes, at = pre_tokens(v, texts.to_pylist(), pattern)
@@ -210,11 +210,11 @@ def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
 
 def _encoded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, digests: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
+    v = Vocabulary(vocabulary)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, pattern = shared.value, regex.compile(PATTERN)
+        pattern = regex.compile(PATTERN)
         for batch in slices(batches, 8 << 20):
             distinct, codes, at = pre_tokens(v, texts_of(batch).to_pylist(), pattern)
             ids, rows = gather(*_encode_distinct(v, distinct, forced=True), codes)
