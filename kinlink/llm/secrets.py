@@ -50,14 +50,14 @@ def _is_random(s: str, thresholds: dict[str, float], window: int, allow: tuple[s
     chars = f"transform(split({s}, ''), c -> instr('{ALPHABET}', c))"
     # a: count of the entering character once the leaving one is out; b: count of the leaving one
     step = f"""(z, i) -> named_struct(
-        'k', z.k,
-        'c', transform(z.c, (n, j) -> n + int(j + 1 = z.k[i]) - int(i >= {window} and j + 1 = z.k[greatest(i - {window}, 0)])),
-        's', z.s + case when i >= {window} and z.k[i] = z.k[greatest(i - {window}, 0)] then 0L
-            else {table}[z.c[z.k[i] - 1] + 1] - {table}[z.c[z.k[i] - 1]]
-                + case when i >= {window} then {table}[z.c[z.k[greatest(i - {window}, 0)] - 1] - 1] - {table}[z.c[z.k[greatest(i - {window}, 0)] - 1]] else 0L end end,
+        'c', transform(z.c, (n, j) -> n + int(j + 1 = k[i]) - int(i >= {window} and j + 1 = k[greatest(i - {window}, 0)])),
+        's', z.s + case when i >= {window} and k[i] = k[greatest(i - {window}, 0)] then 0L
+            else {table}[z.c[k[i] - 1] + 1] - {table}[z.c[k[i] - 1]]
+                + case when i >= {window} then {table}[z.c[k[greatest(i - {window}, 0)] - 1] - 1] - {table}[z.c[k[greatest(i - {window}, 0)] - 1]] else 0L end end,
         'best', case when i >= {window} then least(z.best, z.s) else z.best end)"""
-    start = f"named_struct('k', {chars}, 'c', array_repeat(0, {len(ALPHABET)}), 's', 0L, 'best', {1 << 60}L)"
-    swept = f"aggregate(sequence(0, length({s}) - 1), {start}, {step}, z -> least(z.best, z.s))"
+    start = f"named_struct('c', array_repeat(0, {len(ALPHABET)}), 's', 0L, 'best', {1 << 60}L)"
+    # the state is copied at every step, so the characters' numbers stay outside it, in an enclosing lambda
+    swept = f"transform(array({chars}), k -> aggregate(sequence(0, length({s}) - 1), {start}, {step}, z -> least(z.best, z.s)))[0]"
     allowed = " or ".join(f"{s} rlike {_quoted(a)}" for a in allow) or "false"
     return f"(case when not ({s} rlike '[0-9]' and {s} rlike '[A-Za-z]') or {allowed} then false else {swept} <= {limit} end)"
 
