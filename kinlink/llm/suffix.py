@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinlink.llm.repeats import Kind, shared
@@ -125,21 +126,21 @@ def _removed(copy: bytes, data: np.ndarray, mask: np.ndarray | None, size: int)
 
 def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool) -> DataFrame:
     def finish(ids, texts, copies, marked):
-        columns = [], [], [], [], []
+        columns = [], [], [], [], [], []
         for n, t in enumerate(texts):
             data = np.frombuffer(t.encode(), np.uint8)
             gone = _removed(copies[n], data, marked(n), size)
             kept = data[~gone].tobytes()
             spans = int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum())
-            for column, x in zip(columns, (ids[n], len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest() if digests else kept.decode("utf-8", "ignore")), strict=True):
+            for column, x in zip(columns, (ids[n], len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest() if digests else kept.decode("utf-8", "ignore"), np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)), strict=True):
                 column.append(x)
-        return [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string())]
+        return [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string()), pa.array(columns[5], pa.int64())]
 
     def locate(ids, weights, lengths, text):
         return locate_repeats(ids, lengths, text, size)
 
     last = "kept_sha256" if digests else "text"
-    return shared(docs, Kind("bytes", size, gram, True), locate, finish, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} string", id_col, text_col)
+    return shared(docs, Kind("bytes", size, gram, True), locate, finish, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} string, text_hash long", id_col, text_col)
 
 
 def remove_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,18 +150,22 @@ def remove_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str
     the input stands. A null text is empty; a row with a null id keeps its text and takes nothing from others; repeated
     rows repeat, and rows of one id don't count against each other; an empty table gives no rows.
     """
-    return _suffix(docs, size, gram, id_col, text_col, False)
+    return _suffix(docs, size, gram, id_col, text_col, False).drop("text_hash")
 
 
 def remove_repeats_digests(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """remove_repeats() with kept_sha256, the digest of the remaining bytes, in place of the text."""
-    return _suffix(docs, size, gram, id_col, text_col, True)
-
-
-def without_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
-    """docs, all columns kept, with each text as remove_repeats() leaves it; rows stay. Ids are taken to be unique and not null."""
-    left = cut(remove_repeats(docs, size, id_col=id_col, text_col=text_col).where("n_removed > 0").select(F.col("doc_id").alias("left_id"), F.col("text").alias("left_text")))
-    joined = docs.select(F.struct("*").alias("row_"), F.col(id_col).alias("join_id")).join(left, F.col("join_id") == F.col("left_id"), "left")
-    new = F.when(F.col("left_id").isNotNull(), F.col("left_text")).otherwise(F.col(f"row_.{text_col}"))
-    swap = {text_col: new} | ({length_col: F.when(F.col("left_id").isNotNull(), F.length(new).cast(docs.schema[length_col].dataType)).otherwise(F.col(f"row_.{length_col}"))} if length_col in docs.columns else {})
+    return _suffix(docs, size, gram, id_col, text_col, True).drop("text_hash")
+
+
+def without_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """docs, all rows and columns kept whatever their names, with each text as remove_repeats() leaves it; length_col, where docs has it, gets the new length."""
+    left = _suffix(docs, size, gram, id_col, text_col, False).where("n_removed > 0")
+    left = cut(left.select(F.col("doc_id").alias("left_id"), F.col("text_hash").alias("left_hash"), F.col("text").alias("left_text")).dropDuplicates(["left_id", "left_hash"]))
+    rows = docs.select(F.struct("*").alias("row_"), F.col(id_col).cast("long").alias("id_"), F.xxhash64(F.col(text_col).cast("string")).alias("hash_"))
+    joined = rows.join(left, (F.col("id_") == F.col("left_id")) & (F.col("hash_") == F.col("left_hash")), "left")
+    changed = F.col("left_id").isNotNull()
+    swap = {text_col: F.when(changed, F.col("left_text")).otherwise(F.col(f"row_.`{text_col}`"))}
+    if length_col in docs.columns:
+        swap[length_col] = F.when(changed, F.length("left_text").cast(docs.schema[length_col].dataType)).otherwise(F.col(f"row_.`{length_col}`"))
     return joined.select(*(swap.get(c, F.col(f"row_.`{c}`")).alias(c) for c in docs.columns))
