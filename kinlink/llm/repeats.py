@@ -25,7 +25,10 @@ from pyspark.sql import DataFrame, functions as F
 from kinlink.llm.text import coded, flat_bytes, rows_of, split_words
 
 #: Bytes of text in a batch, and in what a bucket or a shard is meant to look after.
-BATCH, BUCKET, SHARD = 4 << 20, 256 << 20, 4 << 20
+BATCH, BUCKET, SHARD = 4 << 20, 256 << 20, 2 << 20
+#: Units hashed at a time, so that the work stays in a core's cache.
+CHUNK = 1 << 17
+NOTHING = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
 MAIL = "batch long, kind int, key long, payload binary"
 BITMAP, RANGES, COPY = 0, 1, 2
 
@@ -46,7 +49,7 @@ class Units:
     def __init__(self, unit: str, texts: pa.Array):
         if unit == "bytes":
             self.data, self.at = flat_bytes(texts)
-            self.values = self.data.astype(np.uint64)
+            self.values = self.data
             self.cut = lambda a, b: self.data[a:b].tobytes()
         else:
             words, self.at = split_words(texts)
@@ -59,10 +62,19 @@ class Units:
 
 def segments(units: Units, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, first window, last window, anchor) of all segments, windows being named by the unit they start at; and the anchor at each place that is one."""
-    x, n = units.values, len(units.values)
-    nothing = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    block = units.at[:-1] // CHUNK
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+    parts = [NOTHING]
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if b > a and (found := _segments(units.values[units.at[a] : units.at[b]], units.at[a : b + 1] - units.at[a], kind)):
+            parts.append((found[0] + a, found[1] + units.at[a], found[2] + units.at[a], *found[3:]))
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def _segments(values: np.ndarray, at_: np.ndarray, kind: Kind) -> tuple | None:
+    x, n = values.astype(np.uint64), len(values)
     if n < kind.window:
-        return nothing
+        return None
     with np.errstate(over="ignore"):
         odd = np.uint64(0x9E3779B97F4A7C15)
         have, done = (x + np.uint64(1)) * odd, 1
@@ -89,12 +101,12 @@ def segments(units: Units, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarr
         step = min(wide, span - wide)
         most, wide = np.maximum(most[:-step], most[step:]), wide + step
     places = gram[most == gram]
-    lengths = np.diff(units.at)
-    row = rows_of(units.at)[: len(least)]
-    ok = np.arange(len(least)) + kind.window <= np.repeat(units.at[1:], lengths)[: len(least)]
+    lengths = np.diff(at_)
+    row = rows_of(at_)[: len(least)]
+    ok = np.arange(len(least)) + kind.window <= np.repeat(at_[1:], lengths)[: len(least)]
     at = np.flatnonzero(ok)
     if not len(at):
-        return nothing
+        return None
     value, row = least[at], row[at]
     new = np.concatenate([[True], (value[1:] != value[:-1]) | (row[1:] != row[:-1])])
     head = np.flatnonzero(new)

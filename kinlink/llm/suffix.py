@@ -13,34 +13,50 @@ from kinlink.llm.repeats import Kind, shared
 from kinlink.llm.store import cut
 
 #: Bytes sorted in one suffix array; a routed group with more is several shards, merged by binary search.
-ARRAY_BYTES = 2 << 20
+ARRAY_BYTES = 1 << 20
 _MOST = np.iinfo(np.int64).max
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
-    """Suffixes in order, by Larsson and Sadakane's refinement: groups equal in h bytes are sorted by the rank h further on, h doubling."""
+    """Suffixes in order, each read up to the zero byte that ends its segment; equal ones by place.
+
+    Larsson and Sadakane's refinement: groups equal in h bytes are sorted by the rank h further on, h doubling; groups of
+    one, and groups whose end lies within h, are done. Keys carry the place in their low bits, so plain sorts do.
+    """
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, data.dtype)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for j in range(8):
-        key = (key << np.uint64(8)) | padded[j : j + n]
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    rank = np.empty(n + 1, np.int64)
-    rank[n] = -1
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    h = 8
+    bits = max(1, n.bit_length())
+    place, low = np.arange(n, dtype=np.int64), (1 << bits) - 1
+    first = min(5, (63 - bits) // 8)
+    zeros = np.flatnonzero(data == 0)
+    left = zeros[np.searchsorted(zeros, place)] - place  # bytes before the end
+    key, alive = np.zeros(n, np.int64), np.ones(n, bool)
+    for j in range(first):
+        byte = np.zeros(n, np.int64)
+        byte[: max(n - j, 0)] = data[j:]
+        alive &= byte != 0
+        key = (key << 8) | np.where(alive, byte, 0)
+    key = np.sort((key << bits) | place)
+    order, key = key & low, key >> bits
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, place, 0))
+    h, open_ = first, place
     while True:
-        alone = new & np.concatenate([new[1:], [True]])
-        open_ = np.flatnonzero(~alone)
+        alone = new[open_] & np.concatenate([new, [True]])[open_ + 1]
+        open_ = open_[~alone & (left[order[open_]] >= h)]
         if not len(open_):
             return order
         held = order[open_]
-        group, then = rank[held], rank[np.minimum(held + h, n)]
-        by = np.argsort(group * (n + 2) + then + 1, kind="stable")
-        held, group, then = held[by], group[by], then[by]
+        group, then = rank[held], rank[held + h]
+        if 3 * bits <= 63:
+            packed = np.sort((((group << bits) | then) << bits) | held)
+            held, packed = packed & low, packed >> bits
+        else:
+            packed = (group << bits) | then
+            by = np.argsort(packed, kind="stable")
+            held, packed = held[by], packed[by]
         order[open_] = held
-        fresh = np.concatenate([[True], (group[1:] != group[:-1]) | (then[1:] != then[:-1])])
+        fresh = np.concatenate([[True], packed[1:] != packed[:-1]])
         new[open_] = fresh
         rank[held] = np.maximum.accumulate(np.where(fresh, open_, 0))
         h *= 2
@@ -56,14 +72,15 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     before[order[1:]] = order[:-1]
     at = np.arange(n)
     chained = (at > 0) & (before > 0)
-    chained[chained] = data[at[chained] - 1] == data[before[chained] - 1]
+    chained[1:] &= data[:-1] == data[np.maximum(before[1:], 1) - 1]
+    chained[1:] &= data[:-1] != 0
     shared_ = np.zeros(n, np.int64)
     left = np.flatnonzero(~chained & (before >= 0))
+    x, y = left, before[left]
     while len(left):
-        x, y = left + shared_[left], before[left] + shared_[left]
-        ok = np.maximum(x, y) < n
-        ok[ok] = data[x[ok]] == data[y[ok]]
-        left = left[ok]
+        here = data[x]
+        ok = (here == data[y]) & (here != 0)
+        left, x, y = left[ok], x[ok] + 1, y[ok] + 1
         shared_[left] += 1
     head = np.maximum.accumulate(np.where(chained, 0, at))
     return np.maximum(shared_[head] - (at - head), 0)[order]
