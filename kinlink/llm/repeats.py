@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from kinlink.llm.text import coded, flat_bytes, rows_of, split_words
 
 #: Bytes of text in a batch, and in what a bucket or a shard is meant to look after.
-BATCH, BUCKET, SHARD = 4 << 20, 256 << 20, 2 << 20
+BATCH, BUCKET, SHARD = 4 << 20, 32 << 20, 2 << 20
 #: Units hashed at a time, so that the work stays in a core's cache.
 CHUNK = 1 << 17
 NOTHING = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
@@ -56,8 +56,10 @@ class Units:
             codes, distinct = coded(words)
             hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
             self.values = hashes[codes] if len(codes) else np.zeros(0, np.uint64)
-            self.words = words.to_pylist()
-            self.cut = lambda a, b: " ".join(self.words[a:b]).encode()
+            # all words with a space after each, and where each starts
+            spaced, starts = flat_bytes(pc.binary_join_element_wise(words, "", " "))
+            spaced, starts = spaced.tobytes(), starts.tolist()
+            self.cut = lambda a, b: spaced[starts[a] : starts[b] - 1]
 
 
 def segments(units: Units, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
