@@ -7,6 +7,7 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from kinlink.llm.repeats import Kind, shared
@@ -60,15 +61,19 @@ def locate_phrases(weights: np.ndarray, lengths: np.ndarray, text: bytes, size:
 def _phrases(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool) -> DataFrame:
     def finish(ids, texts, copies, marked):
         words, at = split_words(pa.array(texts, pa.string()))
-        words, columns = words.to_pylist(), ([], [], [], [])
-        for n in range(len(texts)):
-            own, mask = words[at[n] : at[n + 1]], marked(n)
-            if copies[n] and len(own) >= size:  # every window of a text with copies recurs
-                mask = np.ones(len(own), bool)
-            kept = " ".join(w for w, gone in zip(own, mask.tolist(), strict=True) if not gone) if mask is not None and mask.any() else " ".join(own)
-            for column, x in zip(columns, (ids[n], len(own), int(mask.sum()) if mask is not None else 0, hashlib.sha256(kept.encode()).hexdigest() if digests else kept), strict=True):
-                column.append(x)
-        return [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(columns[3], pa.string())]
+        gone, n_words = np.zeros(len(words), bool), np.diff(at)
+        for n, copy in enumerate(copies):
+            mask = marked(n)
+            if copy and n_words[n] >= size:  # every window of a text with copies recurs
+                gone[at[n] : at[n + 1]] = True
+            elif mask is not None:
+                gone[at[n] : at[n + 1]] = mask
+        before = np.concatenate([[0], np.cumsum(gone)])
+        kept = pa.ListArray.from_arrays(pa.array((at - before[at]).astype(np.int32)), words.filter(pa.array(~gone)))
+        left = pc.binary_join(kept, " ")
+        if digests:
+            left = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in left.to_pylist()], pa.string())
+        return [pa.array(ids, pa.int64()), pa.array(n_words), pa.array(before[at[1:]] - before[at[:-1]]), left]
 
     def locate(ids, weights, lengths, text):
         return locate_phrases(weights, lengths, text, size)
