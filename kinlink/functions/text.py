@@ -17,7 +17,7 @@ def squeezed(c: Column) -> Column:
 
 
 def clean_name(raw: Column, normal: Column | None = None) -> Column:
-    """The cleaned name, never empty; normal is raw in normal form and lower case (lower(raw) suits ASCII)."""
+    """The cleaned name, never empty; normal is a column of raw in normal form and lower case (lower(raw) suits ASCII)."""
     t = F.coalesce(normal if normal is not None else F.lower(raw), F.lit(""))
     t = F.regexp_replace(t, rf"{S}*\|{S}*(?:https?://)?(?:www\.)?[^\s\p{{Z}}]+", " ")
     t = F.regexp_replace(t, r"https?://(?:www\.)?", "")

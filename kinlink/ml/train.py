@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import random
 import time
 
@@ -54,7 +53,7 @@ def classifier(kind: str, params: dict, seed: int):
     if kind == "gbt":
         return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed, maxIter=params.get("rounds", 40), maxDepth=params.get("depth", 5), stepSize=params.get("rate", 0.1), subsamplingRate=params.get("subsample", 1.0))
     if kind == "monotone":  # a bounded linear model never falls in a feature that may only raise it
-        low = Matrices.dense(1, len(MONOTONE), [0.0 if m else -math.inf for m in MONOTONE])
+        low = Matrices.dense(1, len(MONOTONE), [0.0 if m else -1e6 for m in MONOTONE])
         return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=params.get("rounds", 50), regParam=params.get("reg", 1e-4), lowerBoundsOnCoefficients=low)
     raise ValueError(f"unknown model: {kind}")
 
