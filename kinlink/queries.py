@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from kinlink.config import Config
 from kinlink.functions import text, unicode
-from kinlink.functions.similarity import name_scores
+from kinlink.functions.similarity import jaro_winkler_score, name_scores
 from kinlink.operators import bm25, features, merge, metrics, outputs, quality, validator, vector
 from kinlink.plans import prepare, resolve
 
@@ -189,7 +189,9 @@ def name_levenshtein(s, d):
 
 @query(_COUPLES + " select s1, cand, round(jaro_winkler_similarity(a, b), 6) as jaro_winkler from k")
 def name_jaro_winkler(s, d):
-    return _couples(s, d).select("s1", "cand", F.round(name_scores(F.col("a"), F.col("b")).jaro_winkler, 6).alias("jaro_winkler"))
+    # pairs come out of few scan splits, and comparing them is what costs: they are spread first
+    spread = _couples(s, d).select("s1", "cand", "a", "b").repartition(s.sparkContext.defaultParallelism, "s1", "cand")
+    return spread.select("s1", "cand", F.round(jaro_winkler_score(F.col("a"), F.col("b")), 6).alias("jaro_winkler"))
 
 
 @query()
