@@ -28,6 +28,9 @@ CLASS_OF[:32], CLASS_OF[127] = 6, 6
 for _class, _chars in ((0, b"abcdefghijklmnopqrstuvwxyz"), (1, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (2, b"0123456789"), (3, b" \t\n\v\f\r"), (4, b".,;:!?'\"()-")):
     CLASS_OF[list(_chars)] = _class
 
+#: References of at most so many languages (under 1 KB each) are sent to every task; more are joined by key.
+BROADCAST_LANGUAGES = 10_000
+
 FEATURES = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, classes array<int>, common array<int>"
 
 
@@ -99,7 +102,10 @@ def quality(docs: DataFrame, max_class_distance: float = 0.32, max_word_distance
     bins = {"classes": N_CLASSES, "common": len(WORD_BINS) + 1}
     sums = [F.array(*(F.sum(F.col(c)[i].cast("long")).cast("double") for i in range(n))).alias(f"{c}_ref") for c, n in bins.items()]
     sound = f.where(~F.col("base_failed") & (F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words))
-    by_lang = sound.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= min_reference_docs).drop("n")
+    by_lang = cut(sound.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= min_reference_docs).drop("n"))
+    # a language may hold most documents, so they are not dealt by language
+    small = by_lang.count() <= BROADCAST_LANGUAGES
+    by_lang = by_lang.hint("broadcast" if small else "merge")
     whole = sound.agg(*sums).select(*(F.col(f"{c}_ref").alias(f"{c}_all") for c in bins))
     joined = f.join(by_lang, "lang", "left").join(F.broadcast(whole))  # one row
     for c in bins:

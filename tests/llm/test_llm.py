@@ -121,6 +121,14 @@ def test_quality_counts(docs):
     assert quality.quality(docs.limit(0)).count() == 0
 
 
+def test_quality_references(docs, monkeypatch):
+    several = docs.unionByName(docs.withColumn("lang", F.lit("de")))
+    judged = lambda: rows(quality.quality(several, min_chars=1, min_words=1, min_reference_docs=1))
+    sent = judged()
+    monkeypatch.setattr(quality, "BROADCAST_LANGUAGES", 0)
+    assert judged() == sent
+
+
 def test_secrets(docs):
     got = {r.doc_id: r for r in secrets.secrets(docs).collect()}
     r = got[9]
