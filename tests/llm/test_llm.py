@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kinlink.llm import automata, bpe, graph, hnsw, packing, quality, repeats, secrets, simhash, suffix, urls
+from kinlink.llm import automata, bpe, graph, hnsw, packing, quality, repeats, secrets, similar, simhash, suffix, urls
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -208,3 +208,31 @@ def test_empty_tables(docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
     for made in (bpe.count_tokens(none, path), bpe.encode(none, path), suffix.remove_repeats(none), automata.remove_phrases(none), simhash.near_groups(none), secrets.secrets(none), packing.pack(none)):
         assert made.count() == 0
+
+
+def test_pipeline_near_copies(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    made = []
+    for k in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 400, rng.integers(30, 300))]
+        for _ in range(rng.integers(1, 7)):
+            words = list(base)
+            for at in rng.integers(0, len(words), rng.integers(0, max(2, len(words) // 35))):
+                words[at] = f"n{rng.integers(10**6)}"
+            made.append("the same line opens many of them all " * (k % 3 == 0) + " ".join(words))
+    made += [made[3], "", "", "one two", "One  two", "one two three"]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t), "x", 0) for i, t in enumerate(made)], SCHEMA)
+    sets = []
+    for t in made:
+        w = WORDS.findall(t.lower())
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))})
+    root = list(range(len(made)))
+    pairs = [(i, j) for i in range(len(made)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    for _ in made:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    assert sum(sets[i] != sets[j] for i, j in pairs) > 50
+    for heavy in (similar.HEAVY, 3):
+        monkeypatch.setattr(similar, "HEAVY", heavy)
+        kept = corpus_pipeline.near_dedup(spark, table.union(table.limit(5)), "").collect()
+        assert sorted(r.doc_id for r in kept) == sorted(set(root))
