@@ -20,6 +20,9 @@ COMMON_WORDS = {
     "es": "el la los de que y en un una es por con para se del las al lo como más".split(),
 }
 WORD_BINS = {w: i for i, w in enumerate(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))}
+#: The languages that list a common word, as one bin for each set of languages; the last bin holds all other words.
+LANGUAGE_BINS = {s: i for i, s in enumerate(dict.fromkeys(tuple(x for x in COMMON_WORDS if w in COMMON_WORDS[x]) for w in WORD_BINS))}
+LANGUAGES_OF = np.array([LANGUAGE_BINS[tuple(x for x in COMMON_WORDS if w in COMMON_WORDS[x])] for w in WORD_BINS] + [len(LANGUAGE_BINS)], np.int64)
 #: Character classes: lower, upper, digit, space, sentence marks, symbols, controls, beyond ASCII.
 N_CLASSES = 8
 CLASS_OF = np.full(256, 7, np.int64)
@@ -31,7 +34,7 @@ for _class, _chars in ((0, b"abcdefghijklmnopqrstuvwxyz"), (1, b"ABCDEFGHIJKLMNO
 #: References of at most so many languages (under 1 KB each) are sent to every task; more are joined by key.
 BROADCAST_LANGUAGES = 10_000
 
-FEATURES = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, classes array<int>, common array<int>"
+FEATURES = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, classes array<int>, common array<int>, languages array<int>"
 
 
 def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -66,9 +69,10 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     bins = len(WORD_BINS)
     bin_of = np.array([WORD_BINS.get(w.lower().strip(".,;:!?'\"()"), bins) for w in distinct.to_pylist()], np.int64)
     common = np.bincount(row * (bins + 1) + (bin_of[codes] if len(codes) else codes), minlength=n * (bins + 1)).reshape(n, bins + 1)
+    languages = common @ (LANGUAGES_OF[:, None] == np.arange(len(LANGUAGE_BINS) + 1))
     ints = lambda a: pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1], dtype=np.int32)), pa.array(a.ravel().astype(np.int32)))
     lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False)
-    columns = [batch.column("doc_id"), batch.column("lang"), *(pa.array(np.asarray(x, np.int64)) for x in (np.diff(at), _sums(lengths, at), pc.count_substring_regex(texts, "[#*$%&|<>]").to_numpy(zero_copy_only=False), dup_lines, _sums(repeat, at), classes.sum(1))), ints(classes), ints(common)]
+    columns = [batch.column("doc_id"), batch.column("lang"), *(pa.array(np.asarray(x, np.int64)) for x in (np.diff(at), _sums(lengths, at), pc.count_substring_regex(texts, "[#*$%&|<>]").to_numpy(zero_copy_only=False), dup_lines, _sums(repeat, at), classes.sum(1))), ints(classes), ints(common), ints(languages)]
     return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in FEATURES.split(", ")])
 
 
@@ -90,17 +94,22 @@ def _divergence(p: str, q: str) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.coalesce(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0))))
 
 
-def quality(docs: DataFrame, max_class_distance: float = 0.32, max_word_distance: float = 0.6, min_chars: int = 200, min_words: int = 50, min_reference_docs: int = 30, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per input row: counts, base_failed, the two distances, kept.
+def quality(docs: DataFrame, max_class_distance: float = 0.18, max_word_distance: float = 0.6, max_language_distance: float = 0.25, min_chars: int = 200, min_words: int = 50, min_reference_docs: int = 30, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """One row per input row: counts, base_failed, the three distances, kept.
 
-    A language's reference is the sum, over all documents that pass the base rules and the length guards, of their
-    histograms; a null language, or one with fewer than min_reference_docs such documents, is held against the whole
-    corpus. Documents under min_chars (min_words) are not judged by the class (word) distance. Null or empty texts have
+    A language's reference for words is the sum, over all documents that pass the base rules and the length guards, of
+    their histograms, and for character classes the median of each class's share in them, which junk among them does not
+    move; a null language, or one with fewer than min_reference_docs such documents, is held against the whole
+    corpus. Documents under min_chars (min_words) are not judged by the class (word and language)
+    distance. Single words are too rare in short texts to tell a wrong language by; what languages the common words are
+    of tells it, and tells texts without common words. Null or empty texts have
     no words and fail the base rules. Repeated rows repeat; a null id stays null; other columns are not read.
     """
     f = cut(features(docs, id_col, text_col, lang_col).withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")))
-    bins = {"classes": N_CLASSES, "common": len(WORD_BINS) + 1}
-    sums = [F.array(*(F.sum(F.col(c)[i].cast("long")).cast("double") for i in range(n))).alias(f"{c}_ref") for c, n in bins.items()]
+    bins = {"classes": N_CLASSES, "common": len(WORD_BINS) + 1, "languages": len(LANGUAGE_BINS) + 1}
+    sums = [F.array(*(F.sum(F.col(c)[i].cast("long")).cast("double") for i in range(n))).alias(f"{c}_ref") for c, n in bins.items() if c != "classes"]
+    # shares in ten-thousandths: at most so many values are held for a median
+    sums.append(F.array(*(F.percentile(F.round(F.col("classes")[i] * 10_000 / F.col("n_chars")).cast("int"), 0.5) for i in range(N_CLASSES))).alias("classes_ref"))
     sound = f.where(~F.col("base_failed") & (F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words))
     by_lang = cut(sound.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= min_reference_docs).drop("n"))
     # a language may hold most documents, so they are not dealt by language
@@ -112,5 +121,6 @@ def quality(docs: DataFrame, max_class_distance: float = 0.32, max_word_distance
         joined = joined.withColumn(f"{c}_ref", F.coalesce(f"{c}_ref", f"{c}_all"))
     joined = joined.withColumn("class_distance", F.when(F.col("n_chars") >= min_chars, _divergence("classes", "classes_ref")))
     joined = joined.withColumn("word_distance", F.when(F.col("n_words") >= min_words, _divergence("common", "common_ref")))
-    good = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance)
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", (~F.col("base_failed") & good).alias("kept"))
+    joined = joined.withColumn("language_distance", F.when(F.col("n_words") >= min_words, _divergence("languages", "languages_ref")))
+    good = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance) & (F.coalesce("language_distance", F.lit(0.0)) <= max_language_distance)
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "language_distance", (~F.col("base_failed") & good).alias("kept"))

@@ -20,7 +20,7 @@ documents, embeddings, pages = _table("documents"), _table("embeddings"), _table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": lambda s, d: hnsw.near_vectors(embeddings(s, d)),
-    "op2_quality_rules": lambda s, d: quality.quality(documents(s, d)).drop("class_distance", "word_distance"),
+    "op2_quality_rules": lambda s, d: quality.quality(documents(s, d)).drop("class_distance", "word_distance", "language_distance"),
     "op3_secret_scans": lambda s, d: secrets.secrets(documents(s, d)),
     "op4_url_filters": lambda s, d: urls.judge_urls(pages(s, d)).drop("trust", "distrust"),
     "op5_token_counts": lambda s, d: bpe.count_tokens(documents(s, d), public_tokenizers.path(VOCABULARY)),

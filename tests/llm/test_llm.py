@@ -129,6 +129,25 @@ def test_quality_references(docs, monkeypatch):
     assert judged() == sent
 
 
+def prose(rng, lang, n, common=0.26):
+    made = ["".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(4, 9))) for _ in range(n)]
+    made = [str(rng.choice(quality.COMMON_WORDS[lang])) if common and rng.random() < common else w for w in made]
+    return " ".join(w + "." * (k % 9 == 8) for k, w in enumerate(made))
+
+
+def test_quality_distances(spark):
+    rng = np.random.default_rng(3)
+    made = [(lang, lang, prose(rng, lang, int(n))) for lang in ("en", "de") for n in rng.integers(60, 300, 60)]
+    made += [("junk", "en", prose(rng, "de", 120)), ("junk", "de", prose(rng, "fr", 60)), ("junk", "en", prose(rng, "en", 90, 0)), ("junk", "de", prose(rng, "de", 300, 0))]
+    made += [("junk", "en", prose(rng, "en", n).replace(" ", " | ")) for n in (60, 150, 400)]
+    table = spark.createDataFrame([(i, t, lang) for i, (_, lang, t) in enumerate(made)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality(table).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [got[i].kept for i in range(len(made))] == [kind != "junk" for kind, *_ in made]
+    by_language = [i for i, r in got.items() if r.class_distance <= 0.18 and not r.kept]
+    assert len(by_language) >= 4
+
+
 def test_secrets(docs):
     got = {r.doc_id: r for r in secrets.secrets(docs).collect()}
     r = got[9]
