@@ -99,8 +99,8 @@ def quality(docs: DataFrame, max_class_distance: float = 0.18, max_word_distance
 
     A language's reference for words is the sum, over all documents that pass the base rules and the length guards, of
     their histograms, and for character classes the median of each class's share in them, which junk among them does not
-    move; a null language, or one with fewer than min_reference_docs such documents, is held against the whole
-    corpus. Documents under min_chars (min_words) are not judged by the class (word and language)
+    move. A null language, or one with fewer than min_reference_docs such documents, has no reference: its documents are
+    judged by the base rules only. Documents under min_chars (min_words) are not judged by the class (word and language)
     distance. Single words are too rare in short texts to tell a wrong language by; what languages the common words are
     of tells it, and tells texts without common words. Null or empty texts have
     no words and fail the base rules. Repeated rows repeat; a null id stays null; other columns are not read.
@@ -115,12 +115,9 @@ def quality(docs: DataFrame, max_class_distance: float = 0.18, max_word_distance
     # a language may hold most documents, so they are not dealt by language
     small = by_lang.count() <= BROADCAST_LANGUAGES
     by_lang = by_lang.hint("broadcast" if small else "merge")
-    whole = sound.agg(*sums).select(*(F.col(f"{c}_ref").alias(f"{c}_all") for c in bins))
-    joined = f.join(by_lang, "lang", "left").join(F.broadcast(whole))  # one row
-    for c in bins:
-        joined = joined.withColumn(f"{c}_ref", F.coalesce(f"{c}_ref", f"{c}_all"))
-    joined = joined.withColumn("class_distance", F.when(F.col("n_chars") >= min_chars, _divergence("classes", "classes_ref")))
-    joined = joined.withColumn("word_distance", F.when(F.col("n_words") >= min_words, _divergence("common", "common_ref")))
-    joined = joined.withColumn("language_distance", F.when(F.col("n_words") >= min_words, _divergence("languages", "languages_ref")))
+    joined = f.join(by_lang, "lang", "left")  # no reference: no distance
+    joined = joined.withColumn("class_distance", F.when((F.col("n_chars") >= min_chars) & F.col("classes_ref").isNotNull(), _divergence("classes", "classes_ref")))
+    joined = joined.withColumn("word_distance", F.when((F.col("n_words") >= min_words) & F.col("common_ref").isNotNull(), _divergence("common", "common_ref")))
+    joined = joined.withColumn("language_distance", F.when((F.col("n_words") >= min_words) & F.col("languages_ref").isNotNull(), _divergence("languages", "languages_ref")))
     good = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance) & (F.coalesce("language_distance", F.lit(0.0)) <= max_language_distance)
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "language_distance", (~F.col("base_failed") & good).alias("kept"))

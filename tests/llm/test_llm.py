@@ -148,6 +148,16 @@ def test_quality_distances(spark):
     assert len(by_language) >= 4
 
 
+def test_quality_rare_language(spark):
+    rng = np.random.default_rng(5)
+    far = lambda n: " ".join("".join(rng.choice(list("абвгдежзиклмнопрст"), rng.integers(4, 9))) for _ in range(n))
+    made = [("en", prose(rng, "en", 120)) for _ in range(200)] + [("ru", far(100)) for _ in range(29)] + [("uk", far(100)) for _ in range(30)] + [(None, far(100))]
+    table = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(made)], "doc_id long, text string, lang string")
+    got = quality.quality(table).collect()
+    assert all(r.kept for r in got)
+    assert sum(r.class_distance is None for r in got) == 30
+
+
 def test_secrets(docs):
     got = {r.doc_id: r for r in secrets.secrets(docs).collect()}
     r = got[9]
