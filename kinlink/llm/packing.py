@@ -7,6 +7,8 @@ from bisect import bisect_left, insort
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kinlink.llm.similar import similar_groups
+
 
 def best_fit(items: list[tuple[int, object, object]], capacity: int) -> list[tuple[int, int]]:
     """(bin, slot) for each item (length, source, cluster), in the order given.
@@ -46,6 +48,14 @@ def text_cluster(text: Column) -> Column:
     return F.xxhash64(F.lower(F.trim(F.regexp_replace(text, "[ \\t-\\r]+", " "))))
 
 
+def with_near_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with near_cluster: documents joined by pairs of Jaccard >= 0.8 over five-word shingles, case aside, are of one cluster."""
+    text = F.lower(F.col(text_col).cast("string"))
+    keyed = docs.withColumn("near_key", F.xxhash64(F.col(id_col), F.coalesce(text, F.lit(""))))
+    groups = similar_groups(keyed.select("near_key", text.alias("text")), id_col="near_key", text_col="text").distinct()
+    return keyed.join(groups.withColumnsRenamed({"doc_id": "near_key", "group": "near_cluster"}), "near_key").drop("near_key")
+
+
 def pack(docs: DataFrame, capacity: int = 8192, group_rows: int = 2048, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster: Column | None = None) -> DataFrame:
     """(bin_id, slot, doc_id, piece, start, length, source, cluster[, text]): where each piece of each document lies.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinlink.llm import automata, bpe, hnsw, packing, quality, secrets, simhash, suffix, urls
 
@@ -27,7 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": lambda s, d: automata.remove_phrases_digests(documents(s, d)),
     "op7_simhash_near_dedup": lambda s, d: simhash.near_groups(documents(s, d)),
     "op8_bpe_round_trip": lambda s, d: bpe.encode_digests(documents(s, d), public_tokenizers.path(VOCABULARY)),
-    "op9_best_fit_packing": lambda s, d: packing.pack(documents(s, d)),
+    "op9_best_fit_packing": lambda s, d: packing.pack(packing.with_near_clusters(documents(s, d)), cluster=F.col("near_cluster")),
     "op10_suffix_array_dedup": lambda s, d: suffix.remove_repeats_digests(documents(s, d)),
 }
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kinlink.llm import automata, bpe, graph, hnsw, packing, quality, repeats, secrets, similar, simhash, suffix, urls
+from kinlink.llm import automata, bpe, graph, hnsw, packing, quality, queries, repeats, secrets, similar, simhash, suffix, urls
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -215,6 +215,16 @@ def test_packing(docs):
     assert "".join(r.text for r in six) == dict(TEXTS)[6]
 
 
+def test_packing_near_copies(spark, tmp_path):
+    base = [f"w{k}" for k in range(60)]
+    made = [(i, " ".join([*base[:59], f"x{i}"])) for i in range(8)] + [(20 + i, " ".join(f"y{i}z{k}" for k in range(40))) for i in range(8)]
+    spark.createDataFrame([(i, t, "en", f"s{i}", len(t)) for i, t in made], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op9_best_fit_packing"](spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in made)
+    assert len({r.bin_id for r in got if r.doc_id < 20}) == 8 and len({r.cluster for r in got if r.doc_id < 20}) == 1
+    assert len({r.cluster for r in got}) == 9
+
+
 def test_pipeline(spark, docs, tmp_path):
     prose = " ".join(f"{a}{b} the of and" for a in "bcdfg" for b in "aeiou") + "."
     long = [(20 + i, f"{prose} {chr(97 + i) * 3} {prose[::-1]}", "en", "s", 1, "x", 0) for i in range(3)]
