@@ -55,9 +55,9 @@ def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85,
 
 
 def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst, weight): links between different hosts, weight being the pages' number that have them."""
-    found = F.array_distinct(F.transform(F.regexp_extract_all(F.col(html_col), F.lit(r"(?i)\shref\s*=\s*[\"']?([a-z][a-z0-9+.-]*://[^\"'\s<>]+)"), F.lit(1)), host_of))
-    links = pages.where(F.col(html_col).contains("://")).select(host_of(F.col(url_col)).alias("src"), F.explode(found).alias("dst"))
+    """(src, dst, weight): links (with a scheme or from // on) between different hosts, weight being the pages' number that have them."""
+    found = F.array_distinct(F.transform(F.regexp_extract_all(F.col(html_col), F.lit(r"(?i)\shref\s*=\s*[\"']?((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s<>]+)"), F.lit(1)), lambda x: host_of(F.when(x.startswith("//"), F.concat(F.lit("http:"), x)).otherwise(x))))
+    links = pages.where(F.col(html_col).contains("//")).select(host_of(F.col(url_col)).alias("src"), F.explode(found).alias("dst"))
     return links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 

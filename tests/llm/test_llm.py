@@ -174,6 +174,14 @@ def test_urls(spark):
     assert got == {1: ("a.org", "/fr/x", "org/fr/", "allow"), 2: ("b.io", "/", None, "allow"), 3: ("e.com", "", None, "block"), 4: ("x.net", "/", "net/", "block"), None: ("", "", None, "allow"), 5: ("", "", None, "allow"), 6: ("example.net", "/en/a", "example.net/en/", "allow")}
 
 
+def test_urls_relative_to_scheme(spark):
+    made = [(1, "http://a.com/", '<a href="//b.com/x?u=http://no.io/"> <a href=/own//path>'), (2, "http://b.com/", "<a href='HTTPS://C.com'>"), (3, "http://c.com/", "<a href=//x.net/>"), (4, "http://x.net/", "")]
+    pages = spark.createDataFrame(made, "page_id long, url string, html string")
+    assert {(r.src, r.dst) for r in urls.host_edges(pages).collect()} == {("a.com", "b.com"), ("b.com", "c.com"), ("c.com", "x.net")}
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages).collect()}
+    assert got == dict.fromkeys(range(1, 5), "block")
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(12, 16))
