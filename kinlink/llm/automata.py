@@ -1,4 +1,8 @@
-"""Substring dedup by repeated-phrase automata: words covered by a window of words that occurs again anywhere."""
+"""Substring dedup by repeated-phrase automata: words covered by a window of words that occurs again anywhere.
+
+Shards confirm the passages that recur; each batch compiles those that it has into automata and reads all its documents
+through them, and what they hit is what goes.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +14,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from kinlink.llm.repeats import Kind, shared
-from kinlink.llm.text import coded, rows_of, split_words, windows_coded
+from kinlink.llm.repeats import Batch, Kind, shared
+from kinlink.llm.text import coded, gather, rows_of, split_words, windows_coded
 
-#: Words of the phrases compiled into one automaton; a shard with more compiles several.
-AUTOMATON_WORDS = 1 << 19
+#: Words of the phrases compiled into one automaton; a batch with more compiles several.
+AUTOMATON_WORDS = 1 << 17
+#: A word is so many letters long in an automaton as its number has digits to this base, so that no state has more edges.
+BASE = 32
 
 
 def _runs(mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -25,12 +31,8 @@ def _runs(mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[head], at[np.concatenate([head[1:], [len(at)]])[: len(head)] - 1]
 
 
-def locate_phrases(weights: np.ndarray, lengths: np.ndarray, text: bytes, size: int, automaton_words: int = AUTOMATON_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, start, end) of the ranges of words that recurring windows cover.
-
-    Windows that occur twice or more, weights counted, are confirmed word by word; each run of them in a segment is a
-    passage. The passages' automata then run over all segments, and every occurrence is reported.
-    """
+def confirm_passages(weights: np.ndarray, lengths: np.ndarray, text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, start, end) of the passages in some segments: runs of windows that occur twice or more, weights counted, compared word by word."""
     ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     texts = pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(text)])
     words, at = split_words(texts)
@@ -39,44 +41,67 @@ def locate_phrases(weights: np.ndarray, lengths: np.ndarray, text: bytes, size:
     window = windows_coded(codes, size)
     ok = np.arange(len(window)) + size <= np.repeat(at[1:], np.diff(at))[: len(window)]
     counts = np.bincount(window[ok], weights=weights[row[: len(window)][ok]]) if ok.any() else np.zeros(1)
-    again = ok & (counts[np.minimum(window, len(counts) - 1)] > 1)
-    first, last = _runs(again, row)
-    values = codes.tolist()
-    passages = list(dict.fromkeys(tuple(values[a : b + size]) for a, b in zip(first.tolist(), last.tolist(), strict=True)))
-    segments = [tuple(values[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-    found: list[tuple[int, int, int]] = []
-    while passages:
-        machine, used = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), 0
-        while passages and used < automaton_words:
-            phrase = passages.pop()
-            machine.add_word(phrase, len(phrase))
-            used += len(phrase)
+    first, last = _runs(ok & (counts[np.minimum(window, len(counts) - 1)] > 1), row)
+    return row[first], first - at[row[first]], last + size - at[row[first]]
+
+
+def phrases_of(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """Where the phrases start that make up passages (start, end): one after the other, and the last `size` words."""
+    number = -((starts - ends) // size)
+    inner = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    return np.minimum(np.repeat(starts, number) + inner * size, np.repeat(ends - size, number))
+
+
+def occurrences(codes: np.ndarray, at: np.ndarray, phrases: np.ndarray, size: int, automaton_words: int) -> np.ndarray:
+    """Mask of the words that any occurrence of a phrase covers; phrases are `size` words each and start at the given places.
+
+    All documents (codes, with offsets at) are read through automata of about automaton_words words. Phrases are equally
+    long, so a place ends one at most, and what is found never outgrows the documents. Each digit of a word's number has
+    letters of its own, so that no match begins inside a word.
+    """
+    digits = 1
+    while BASE**digits <= int(codes.max(initial=0)):
+        digits += 1
+    letters = np.stack([codes // BASE**k % BASE + 256 + k * BASE for k in range(digits)], 1).astype("<u4")
+    read = lambda a, b: letters[a:b].tobytes().decode("utf-32-le")
+    texts = [(a, read(a, b)) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True) if b - a >= size]
+    hits = np.zeros(len(codes) + 1, np.int64)
+    distinct = list(dict.fromkeys(read(a, a + size) for a in phrases.tolist()))
+    shard = max(1, automaton_words // size)
+    for k in range(0, len(distinct), shard):
+        machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for phrase in distinct[k : k + shard]:
+            machine.add_word(phrase)
         machine.make_automaton()
-        for s, sequence in enumerate(segments):
-            found += [(s, end + 1 - n, end + 1) for end, n in machine.iter(sequence)]
-    out = np.array(found, np.int64).reshape(-1, 3)
-    return out[:, 0], out[:, 1], out[:, 2]
+        for a, text in texts:
+            end = np.fromiter((e for e, _ in machine.iter(text)), np.int64) // digits + 1 + a
+            hits[end - size] += 1
+            hits[end] -= 1
+    return np.cumsum(hits)[:-1] > 0
 
 
 def _phrases(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool) -> DataFrame:
-    def finish(ids, texts, copies, marked):
-        words, at = split_words(pa.array(texts, pa.string()))
+    def finish(b: Batch, buckets: int) -> list[pa.Array]:
+        words, at = split_words(pa.array(b.texts, pa.string()))
         gone, n_words = np.zeros(len(words), bool), np.diff(at)
-        for n, copy in enumerate(copies):
-            mask = marked(n)
+        rows = np.array(b.used, np.int64)
+        starts, ends = b.passages(buckets)
+        if len(starts):
+            codes, inside = gather(coded(words)[0], at, rows)
+            mask = occurrences(codes, inside, phrases_of(starts, ends, size), size, AUTOMATON_WORDS)
+            gone[gather(np.arange(len(words)), at, rows)[0]] = mask
+        for n, copy in enumerate(b.copy):
             if copy and n_words[n] >= size:  # every window of a text with copies recurs
                 gone[at[n] : at[n + 1]] = True
-            elif mask is not None:
-                gone[at[n] : at[n + 1]] = mask
         before = np.concatenate([[0], np.cumsum(gone)])
         kept = pa.ListArray.from_arrays(pa.array((at - before[at]).astype(np.int32)), words.filter(pa.array(~gone)))
         left = pc.binary_join(kept, " ")
         if digests:
             left = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in left.to_pylist()], pa.string())
-        return [pa.array(ids, pa.int64()), pa.array(n_words), pa.array(before[at[1:]] - before[at[:-1]]), left]
+        return [pa.array(b.ids, pa.int64()), pa.array(n_words), pa.array(before[at[1:]] - before[at[:-1]]), left]
 
     def locate(ids, weights, lengths, text):
-        return locate_phrases(weights, lengths, text, size)
+        return confirm_passages(weights, lengths, text, size)
 
     last = "kept_sha256" if digests else "text"
     return shared(docs, Kind("words", size, gram, False), locate, finish, f"doc_id long, n_words long, n_removed long, {last} string", id_col, text_col)

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
-from kinlink.llm.text import flat_bytes, slices, texts_of
+from kinlink.llm.text import flat_bytes, gather, slices, texts_of
 
 #: Fixed value: the pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -26,14 +29,56 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: A character of each class that pre-tokens are cut by, none of which the pattern names by itself.
+STANDS_FOR = {"letter": "x", "number": "0", "white": "\t", "other": "!"}
+
+
+@lru_cache(maxsize=1)
+def class_differences() -> dict[int, str]:
+    """Code points that the library's Unicode tables class otherwise than the pattern's here, and a character of the class that it gives them."""
+    library = ByteLevel(add_prefix_space=False, use_regex=True)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c not in (0x20, 0x27)]
+    every = "".join(points)
+    whole = lambda text: len(library.pre_tokenize_str(text)) == 1
+    here = regex.compile(r"(?P<letter>\p{L}+)|(?P<number>\p{N}+)|(?P<white>\s+)|(?P<other>[^\s\p{L}\p{N}]+)")
+    mine = [""] * len(points)
+    for m in here.finditer(every):
+        mine[m.start() : m.end()] = [m.lastgroup] * (m.end() - m.start())
+    out = {}
+    for _, (a, b) in library.pre_tokenize_str(every):  # a run of one class
+        c = every[a]
+        theirs = "letter" if whole("a" + c) else "number" if whole("1" + c) else "other" if whole("!" + c) else "white"
+        out |= {ord(every[i]): STANDS_FOR[theirs] for i in range(a, b) if mine[i] != theirs}
+    return out
+
+
+class PreTokens:
+    """The cutting of texts into pre-tokens as the library does it, whatever Unicode version either has."""
+
+    def __init__(self, differences: dict[int, str]):
+        self.pattern, self.differences = regex.compile(PATTERN), differences
+        self.some = re.compile("[" + "".join(re.escape(chr(c)) for c in differences) + "]") if differences else None
+
+    def cut(self, text: str) -> list[str]:
+        if self.some is None or text.isascii() or not self.some.search(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.differences))]
+
+
 class Vocabulary:
     """Arrays of one byte-level BPE file (tokenizers' .json): bounded by the vocabulary, so it travels with the job."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        if spec["model"]["type"] != "BPE" or (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel" or spec["normalizer"]:
+        model, before = spec["model"], spec["pre_tokenizer"] or {}
+        if model["type"] != "BPE" or before.get("type") != "ByteLevel" or spec["normalizer"]:
             raise ValueError(f"{path} is not a byte-level BPE vocabulary")
+        told = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback") if model.get(k)]
+        told += [k for k in ("lstrip", "rstrip", "single_word") if any(t.get(k) for t in spec["added_tokens"])]
+        if told or before.get("add_prefix_space") or not before.get("use_regex", True):
+            raise ValueError(f"{path} asks for what is not done here: {', '.join(told) or 'another cutting of pre-tokens'}")
+        self.differences = class_differences()
         symbols, ids = byte_symbols(), spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*ids.values(), *self.special.values()]) + 1
@@ -127,17 +172,17 @@ def merge(v: Vocabulary, symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     return out, out_at
 
 
-def pre_tokens(v: Vocabulary, texts: list[str], pattern) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def pre_tokens(v: Vocabulary, texts: list[str], cutter: PreTokens) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct pre-tokens, each text's codes of them in turn, and the texts' offsets. Special strings are pre-tokens of their own."""
     split = regex.compile("(" + "|".join(map(regex.escape, sorted(v.special, key=len, reverse=True))) + ")") if v.special else None
     found, counts = [], np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
         before = len(found)
         if split is None or not any(s in t for s in v.special):
-            found += pattern.findall(t)
+            found += cutter.cut(t)
         else:
             for part in split.split(t):
-                found += [part] if part in v.special else pattern.findall(part)
+                found += [part] if part in v.special else cutter.cut(part)
         counts[i] = len(found) - before
     d = pa.array(found, pa.string()).dictionary_encode()
     return d.dictionary, d.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
@@ -164,13 +209,6 @@ def _encode_distinct(v: Vocabulary, distinct: pa.Array, forced: bool) -> tuple[n
     return out, out_at
 
 
-def gather(values: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ragged rows `rows` of (values, starts), one after the other, and their offsets."""
-    lengths = starts[rows + 1] - starts[rows]
-    at = np.concatenate([[0], np.cumsum(lengths)])
-    return values[np.repeat(starts[rows] - at[:-1], lengths) + np.arange(at[-1])], at
-
-
 def _sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
@@ -184,10 +222,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
     v = Vocabulary(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = regex.compile(PATTERN)
+        cutter = PreTokens(v.differences)
         for batch in slices(batches, 16 << 20):
             texts = texts_of(batch)
-            distinct, codes, at = pre_tokens(v, texts.to_pylist(), pattern)
+            distinct, codes, at = pre_tokens(v, texts.to_pylist(), cutter)
             _, ends = _encode_distinct(v, distinct, forced=False)
             total = np.concatenate([[0], np.cumsum(np.diff(ends)[codes])])
             n = total[at[1:]] - total[at[:-1]]
@@ -214,9 +252,9 @@ def _encoded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, diges
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = regex.compile(PATTERN)
+        cutter = PreTokens(v.differences)
         for batch in slices(batches, 8 << 20):
-            distinct, codes, at = pre_tokens(v, texts_of(batch).to_pylist(), pattern)
+            distinct, codes, at = pre_tokens(v, texts_of(batch).to_pylist(), cutter)
             ids, rows = gather(*_encode_distinct(v, distinct, forced=True), codes)
             rows = rows[at]
             back, ends = gather(v.token_bytes, v.token_starts, ids)

@@ -7,12 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinlink.llm.graph import components
 from kinlink.llm.store import cut, drop
-from kinlink.llm.text import coded, rows_of, slices, split_words, texts_of
+from kinlink.llm.text import rows_of, slices, spaced, split_words, texts_of, word_hashes
 
 #: Shingles that HEAVY of about SAMPLE documents share come last in the order of shingles. This steers only the time taken.
 SAMPLE, HEAVY = 8000, 16
@@ -26,13 +25,24 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _ordered(row: np.ndarray, load: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The order by (row, load, hash): by one key that holds the hash's upper bits, and by all of it should they not tell some apart."""
+    kinds, load = np.unique(load, return_inverse=True)
+    bits = int(row[-1] if len(row) else 0).bit_length() + (len(kinds) - 1).bit_length()
+    if bits > 31:
+        return np.lexsort((hashes, load, row))
+    key = (row.astype(np.uint64) * np.uint64(1 << (len(kinds) - 1).bit_length()) + load.astype(np.uint64)) << np.uint64(64 - bits) if bits else np.zeros(len(row), np.uint64)
+    key |= hashes >> np.uint64(bits)
+    order = np.argsort(key)
+    sorted_, upper = hashes[order], key[order]
+    mixed_up = (upper[1:] == upper[:-1]) & (sorted_[1:] != sorted_[:-1])
+    return np.lexsort((hashes, load, row)) if mixed_up.any() else order
+
+
 def _shingles(texts: pa.Array, size: int, heavy: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of every text (64-bit hashes; the whole text where it has fewer words), in the order of (weight, hash), and offsets."""
     words, at = split_words(pc.ascii_lower(texts))
-    codes, kinds = coded(words)
-    digest = xxhash.xxh64_intdigest
-    of = np.fromiter((digest(w) for w in kinds.to_pylist()), np.uint64, len(kinds))[codes] if len(codes) else np.zeros(0, np.uint64)
-    counts = np.diff(at)
+    of, counts = word_hashes(*spaced(words)), np.diff(at)
     number = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     starts = np.concatenate([[0], np.cumsum(number)])
     row = np.repeat(np.arange(len(texts)), number)
@@ -43,7 +53,7 @@ def _shingles(texts: pa.Array, size: int, heavy: np.ndarray, weight: np.ndarray)
         hashes[some] = _mixed((hashes[some] << np.uint64(1)) ^ of[first[some] + k])
     place = np.minimum(np.searchsorted(heavy, hashes), max(len(heavy) - 1, 0))
     load = np.where(heavy[place] == hashes, weight[place], 0) if len(heavy) else np.zeros(len(hashes), np.int64)
-    order = np.lexsort((hashes, load, row))
+    order = _ordered(row, load, hashes)
     row, hashes = row[order], hashes[order]
     fresh = np.ones(len(row), bool)
     fresh[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])

@@ -9,11 +9,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from kinlink.llm.repeats import Kind, shared
+from kinlink.llm.repeats import Batch, Kind, shared
 from kinlink.llm.store import cut
 
 #: Bytes sorted in one suffix array; a routed group with more is several shards, merged by binary search.
 ARRAY_BYTES = 1 << 20
+#: Bytes of common prefixes compared for all suffixes in step, before the few longer ones are compared one by one.
+STEPS = 256
 _MOST = np.iinfo(np.int64).max
 
 
@@ -77,15 +79,29 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     shared_ = np.zeros(n, np.int64)
     left = np.flatnonzero(~chained & (before >= 0))
     x, y = left, before[left]
-    while len(left):
+    for _ in range(STEPS):
         here = data[x]
         ok = (here == data[y]) & (here != 0)
         left, x, y = left[ok], x[ok] + 1, y[ok] + 1
         shared_[left] += 1
+    for i, p, q in zip(left.tolist(), x.tolist(), y.tolist(), strict=True):  # what is longer goes on by stretches
+        shared_[i] += _common(data, p, q)
     head = np.maximum.accumulate(np.where(chained, 0, at))
     return np.maximum(shared_[head] - (at - head), 0)[order]
 
 
+def _common(data: np.ndarray, p: int, q: int) -> int:
+    """Bytes that the suffixes at p and q share, up to a zero byte; compared in stretches of doubling length."""
+    done, step = 0, 64
+    while True:
+        most = min(step, len(data) - max(p, q) - done)
+        a, b = data[p + done : p + done + most], data[q + done : q + done + most]
+        stop = np.flatnonzero((a != b) | (a == 0))
+        if len(stop) or not most:
+            return done + int(stop[0] if len(stop) else 0)
+        done, step = done + most, 2 * step
+
+
 def _shard(data: np.ndarray, docs: np.ndarray, valid: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(keys, least, where, key of where): the sorted distinct strings that start at valid places, each one's least document, and the places."""
     order = suffix_array(data)
@@ -135,21 +151,23 @@ def locate_repeats(docs: np.ndarray, lengths: np.ndarray, text: bytes, size: int
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _removed(copy: bytes, data: np.ndarray, mask: np.ndarray | None, size: int) -> np.ndarray:
-    if copy == b"c":  # every string of a copy starts in the document it copies
-        return np.full(len(data), len(data) >= size)
-    return mask if mask is not None else np.zeros(len(data), bool)
-
-
 def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool) -> DataFrame:
-    def finish(ids, texts, copies, marked):
+    def finish(b: Batch, buckets: int) -> list[pa.Array]:
+        mask, place = b.covered(buckets), {n: i for i, n in enumerate(b.used)}
         columns = [], [], [], [], [], []
-        for n, t in enumerate(texts):
-            data = np.frombuffer(t.encode(), np.uint8)
-            gone = _removed(copies[n], data, marked(n), size)
+        for n, t in enumerate(b.texts):
+            raw = t.encode()
+            data = np.frombuffer(raw, np.uint8)
+            if b.copy[n] == b"c":  # every string of a copy starts in the document it copies
+                gone = np.full(len(data), len(data) >= size)
+            elif n in place:
+                gone = mask[b.units.at[place[n]] : b.units.at[place[n] + 1]]
+            else:
+                gone = np.zeros(len(data), bool)
             kept = data[~gone].tobytes()
             spans = int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum())
-            for column, x in zip(columns, (ids[n], len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest() if digests else kept.decode("utf-8", "ignore"), np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)), strict=True):
+            last = hashlib.sha256(kept).hexdigest() if digests else kept.decode("utf-8", "ignore")
+            for column, x in zip(columns, (b.ids[n], len(data), int(gone.sum()), spans, last, np.uint64(xxhash.xxh64_intdigest(raw, 42)).astype(np.int64)), strict=True):
                 column.append(x)
         return [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string()), pa.array(columns[5], pa.int64())]
 
