@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinlink.llm.store import cut
+from kinlink.llm.store import cut, tidy
 from kinlink.llm.text import coded, flat_bytes, rows_of, slices, split_words, texts_of, windows_coded
 
 #: Frequent function words by language, whose shares make the common-word histogram.
@@ -34,7 +34,7 @@ for _class, _chars in ((0, b"abcdefghijklmnopqrstuvwxyz"), (1, b"ABCDEFGHIJKLMNO
 #: References of at most so many languages (under 1 KB each) are sent to every task; more are joined by key.
 BROADCAST_LANGUAGES = 10_000
 
-FEATURES = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, classes array<int>, common array<int>, languages array<int>"
+FEATURES = "lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, classes array<int>, common array<int>, languages array<int>"
 
 
 def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -73,27 +73,34 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     ints = lambda a: pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1], dtype=np.int32)), pa.array(a.ravel().astype(np.int32)))
     lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False)
     columns = [batch.column("doc_id"), batch.column("lang"), *(pa.array(np.asarray(x, np.int64)) for x in (np.diff(at), _sums(lengths, at), pc.count_substring_regex(texts, "[#*$%&|<>]").to_numpy(zero_copy_only=False), dup_lines, _sums(repeat, at), classes.sum(1))), ints(classes), ints(common), ints(languages)]
-    return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in FEATURES.split(", ")])
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", *(x.split()[0] for x in FEATURES.split(", "))])
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Counts and histograms of every whole text; null text: none of anything."""
+    """Counts and histograms of every whole text; null text: none of anything. Ids are of any type, which they keep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             yield _features(batch)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).mapInArrow(run, FEATURES)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, {FEATURES}")
+
+
+def _shares(counts: Column) -> Column:
+    """Counts as shares of their sum, which is made once: in an enclosing lambda, as one inside the inner lambda runs for every bin."""
+    total = F.array(F.aggregate(counts, F.lit(0.0), lambda s, y: s + y))
+    return F.transform(total, lambda s: F.transform(counts, lambda x: F.try_divide(x, s)))[0]
 
 
 def _divergence(p: str, q: str) -> Column:
-    """Jensen-Shannon distance (square root of the base-2 divergence) of two count arrays; 0 where either is empty."""
-    shares = lambda c: F.transform(F.col(c), lambda x: x / F.aggregate(c, F.lit(0.0), lambda s, y: s + y))
+    """Jensen-Shannon distance (square root of the base-2 divergence) of a count array and an array of shares; 0 where either is empty."""
     half = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-    terms = F.zip_with(shares(p), shares(q), lambda a, b: (half(a, (a + b) / 2) + half(b, (a + b) / 2)) / 2)
+    terms = F.zip_with(_shares(F.col(p)), F.col(q), lambda a, b: (half(a, (a + b) / 2) + half(b, (a + b) / 2)) / 2)
     return F.sqrt(F.greatest(F.lit(0.0), F.coalesce(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0))))
 
 
+@tidy
 def quality(docs: DataFrame, max_class_distance: float = 0.18, max_word_distance: float = 0.6, max_language_distance: float = 0.25, min_chars: int = 200, min_words: int = 50, min_reference_docs: int = 30, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per input row: counts, base_failed, the three distances, kept.
 
@@ -111,8 +118,10 @@ def quality(docs: DataFrame, max_class_distance: float = 0.18, max_word_distance
     # shares in ten-thousandths: at most so many values are held for a median
     sums.append(F.array(*(F.percentile(F.round(F.col("classes")[i] * 10_000 / F.col("n_chars")).cast("int"), 0.5) for i in range(N_CLASSES))).alias("classes_ref"))
     sound = f.where(~F.col("base_failed") & (F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words))
-    by_lang = cut(sound.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= min_reference_docs).drop("n"))
-    # a language may hold most documents, so they are not dealt by language
+    by_lang = sound.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= min_reference_docs)
+    by_lang = cut(by_lang.select("lang", *(_shares(F.col(f"{c}_ref")).alias(f"{c}_ref") for c in bins)))
+    # a language may hold most documents, so they are not dealt by it; where references are too many to send, both sides
+    # are plain tables, and the engine splits the hot language
     small = by_lang.count() <= BROADCAST_LANGUAGES
     by_lang = by_lang.hint("broadcast" if small else "merge")
     joined = f.join(by_lang, "lang", "left")  # no reference: no distance

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from kinlink.llm import automata, bpe, hnsw, packing, quality, secrets, simhash, suffix, urls
 
@@ -20,18 +20,17 @@ documents, embeddings, pages = _table("documents"), _table("embeddings"), _table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": lambda s, d: hnsw.near_vectors(embeddings(s, d)),
-    "op2_quality_rules": lambda s, d: quality.quality(documents(s, d)).drop("class_distance", "word_distance", "language_distance"),
+    "op2_quality_rules": lambda s, d: quality.quality(documents(s, d)),
     "op3_secret_scans": lambda s, d: secrets.secrets(documents(s, d)),
     "op4_url_filters": lambda s, d: urls.judge_urls(pages(s, d)).drop("trust", "distrust"),
     "op5_token_counts": lambda s, d: bpe.count_tokens(documents(s, d), public_tokenizers.path(VOCABULARY)),
     "op6_substring_dedup": lambda s, d: automata.remove_phrases_digests(documents(s, d)),
     "op7_simhash_near_dedup": lambda s, d: simhash.near_groups(documents(s, d)),
     "op8_bpe_round_trip": lambda s, d: bpe.encode_digests(documents(s, d), public_tokenizers.path(VOCABULARY)),
-    "op9_best_fit_packing": lambda s, d: packing.pack(packing.with_near_clusters(documents(s, d)), cluster=F.col("near_cluster")),
+    "op9_best_fit_packing": lambda s, d: packing.pack_apart(documents(s, d)),
     "op10_suffix_array_dedup": lambda s, d: suffix.remove_repeats_digests(documents(s, d)),
 }
 
-_COVER = """covered as (select distinct doc_id, unnest(range(p, p + {n})) as p from hit)"""
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": """
 with recursive v as (select vec_id, label, embedding::double[] as e from embeddings

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+#: Tables written since each tidy() call that is under way began.
+_OPEN: list[list[DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder where it is unset (tests, one machine)."""
+    """The session's spark.checkpoint.dir. Where it is unset a temporary folder serves on one machine; on a cluster that is an error, as executors would not share it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="kinlink-")
@@ -28,6 +34,8 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._kinlink_path = path
+    if _OPEN:
+        _OPEN[-1].append(out)
     return out
 
 
@@ -36,3 +44,25 @@ def drop(df: DataFrame) -> None:
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df._kinlink_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tidy(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """f with its result written and every other table that it cut dropped, so that only the result stays in the shared folder."""
+
+    @wraps(f)
+    def run(*args, **kwargs) -> DataFrame:
+        made: list[DataFrame] = []
+        out = None
+        _OPEN.append(made)
+        try:
+            out = cut(f(*args, **kwargs))
+        finally:
+            _OPEN.pop()
+            for table in made:
+                if table is not out:
+                    drop(table)
+        if _OPEN:
+            _OPEN[-1].append(out)
+        return out
+
+    return run
