@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kinlink.llm.graph import components
-from kinlink.llm.store import cut
+from kinlink.llm.store import cut, tidy
 
 _ROWS = 256
+#: Bytes of the shards that ask one shard in one task.
+ASKING = 64 << 20
+#: A beam as wide as a shard of at most so many rows is still walked.
+WALKED = 64
+#: Of the nearest rows that are no links, the share that audits ask walks to find.
+NEAREST = 0.9
 
 
 def _select(candidates: np.ndarray, sims: np.ndarray, unit: np.ndarray, m: int) -> np.ndarray:
@@ -36,7 +43,7 @@ class Graph:
     """A hierarchical navigable small-world graph over unit vectors; rows are inserted in batches, queries walk in step."""
 
     def __init__(self, unit: np.ndarray, m: int = 12, ef: int = 48):
-        self.unit, self.m = unit.astype(np.float32), m
+        self.unit, self.m, self.walks = unit.astype(np.float32), m, 0
         n = len(unit)
         seed = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)
         level = np.floor(-np.log((seed.astype(float) + 1) / 2**53) / math.log(m)).astype(int)
@@ -156,68 +163,107 @@ class Graph:
             come = np.where(live[:, :, None], links[np.minimum(np.maximum(ids[side, turn], 0), n - 1)], -1).reshape(q, -1).astype(np.int64)
 
     def near(self, queries: np.ndarray, threshold: float, ef: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, row) at threshold or more among the rows that the walks reach; a beam full of links is widened for its query."""
+        """(query, row) at threshold or more among the rows that the walks reach; a beam full of links is widened for its query.
+
+        A beam as wide as the shard holds every row of it, and is read without a walk.
+        """
         out_q, out_r, todo, n = [], [], np.arange(len(queries)), len(self.unit)
         for a in range(0, len(queries) if len(self.apart) else 0, _ROWS):
             x, y = np.nonzero(queries[a : a + _ROWS] @ self.unit[self.apart].T >= threshold)
             out_q.append(a + x)
             out_r.append(self.apart[y])
+        ef = min(ef, n)
         while len(todo):
-            if 8 * ef >= n:  # walking so wide a beam costs more than reading the shard
-                for a in range(0, len(todo), _ROWS):
-                    x, y = np.nonzero(queries[todo[a : a + _ROWS]] @ self.unit.T >= threshold)
-                    out_q.append(todo[a + x])
-                    out_r.append(y)
-                break
             again = []
             for a in range(0, len(todo), _ROWS):
                 part = todo[a : a + _ROWS]
-                ids, sims = self._walk(queries[part], 0, ef, self._enter(queries[part], 0))
-                full = sims[:, -1] >= threshold
+                ids, sims = self.beam(queries[part], ef)
+                full = (sims[:, -1] >= threshold) & (ef < n)
                 x, y = np.nonzero((sims >= threshold) & ~full[:, None])
                 out_q.append(part[x])
                 out_r.append(ids[x, y])
                 again.append(part[full])
-            todo, ef = np.concatenate(again), 2 * ef
+            todo, ef = np.concatenate(again), 4 * ef if 8 * ef < n else n
         q, r = np.concatenate([np.zeros(0, np.int64), *out_q]), np.concatenate([np.zeros(0, np.int64), *out_r])
         key = np.unique(q * n + r)  # a row apart may be met on a walk too
         return key // n, key % n
 
+    def beam(self, queries: np.ndarray, ef: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and similarities that a beam of width ef ends with, at least the last place being the worst of them."""
+        n = len(self.unit)
+        if ef >= n > WALKED:
+            return np.broadcast_to(np.arange(n), (len(queries), n)), queries @ self.unit.T
+        self.walks += len(queries)
+        return self._walk(queries, 0, ef, self._enter(queries, 0))
+
+
+@dataclass(frozen=True)
+class Audit:
+    """How one search was audited: the beam's width, what sampled queries have in a full scan, and how much of it walks found."""
+
+    ef: int
+    true: int
+    found: int
 
-def audited(graph: Graph, queries: np.ndarray, threshold: float, ef: int = 32, audit_every: int = 16, recall: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """near() with the beam doubled until, of the links that every audit_every-th query has in a full scan, the share `recall` is found."""
-    sample = np.arange(0, len(queries), audit_every)
-    truth = [np.nonzero(queries[sample[a : a + _ROWS]] @ graph.unit.T >= threshold) for a in range(0, len(sample), _ROWS)]
+
+def audited(graph: Graph, queries: np.ndarray, threshold: float, ef: int = 32, audit_every: int = 16, audit_least: int = 512, recall: float = 1.0, own: bool = False) -> tuple[np.ndarray, np.ndarray, Audit]:
+    """near() with the beam widened until, of what sampled queries have in a full scan, the share `recall` is found.
+
+    Sampled are every audit_every-th query, and at least audit_least in all. What one has is its links and, so that a sample
+    without links audits too, its nearest row; itself doesn't count (own: queries are the graph's rows).
+    """
     n = len(graph.unit)
-    true = np.concatenate([sample[i * _ROWS + x] * n + y for i, (x, y) in enumerate(truth)])
+    step = max(1, min(audit_every, len(queries) // audit_least))
+    sample = np.arange(0, len(queries), step)
+    true, nearest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(0, len(sample), _ROWS):
+        part = sample[a : a + _ROWS]
+        sims = queries[part] @ graph.unit.T
+        if own:
+            sims[np.arange(len(part)), part] = -np.inf
+        x, y = np.nonzero(sims >= threshold)
+        true.append(part[x] * n + y)
+        best = sims.argmax(1)
+        alone = (sims[np.arange(len(part)), best] < threshold) & (n > own)
+        nearest.append(part[alone] * n + best[alone])
+    true, nearest = np.concatenate(true), np.concatenate(nearest)
     while True:
         q, r = graph.near(queries, threshold, ef)
-        if 8 * ef >= n or np.isin(true, q * n + r).sum() >= recall * len(true):
-            return q, r
+        found = int(np.isin(true, q * n + r).sum())
+        for a in range(0, len(nearest), _ROWS):
+            part = nearest[a : a + _ROWS]
+            ids, _ = graph.beam(queries[part // n], min(ef, n))
+            found += int((ids == (part % n)[:, None]).any(1).sum())
+        total = len(true) + len(nearest)
+        links = np.isin(true, q * n + r).all() if recall >= 1 else True
+        if ef >= n or (links and found >= min(recall, NEAREST) * total):
+            return q, r, Audit(min(ef, n), total, found)
         ef *= 4
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, shard_rows: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
-    """vec_id, n_links, component_id, kept for each row of vectors; links join equal labels at cosine >= threshold.
+FOUND = "key long, links long, other long, shard int, asking int, ef int, audited long, found long"
 
-    Equal vectors of a label are one node with their number, so copies are never paired. Each label's nodes are dealt
-    into shards of about shard_rows; each shard has a graph; every node queries every shard of its label (of two shards,
-    one asks the other); what searches find is verified in double precision, and counts and a spanning forest, not
-    pairs, leave a pair of shards. A null label, a null, zero or empty vector, one with null or non-finite components,
-    and a row with a null id link with nothing: n_links 0, component_id its own id, kept true (null id: null and
-    false). Vectors of different lengths never link. Repeated rows are vectors of their own. Other columns are not read.
-    """
+
+def _nodes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, nodes): vec_id, label and sound vector (else null) of each row; and each distinct vector of a label with a key of its own."""
     x = F.col(vector_col).cast("array<double>")
     sound = F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0), F.lit(False))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.when(sound & F.col(label_col).isNotNull() & F.col(id_col).isNotNull(), F.transform(x, lambda v: v + F.lit(0.0))).alias("vec"))
-    real = rows.where("vec is not null")
-    nodes = cut(real.groupBy("label", "vec").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("size")).withColumn("dim", F.size("vec")))
+    nodes = rows.where("vec is not null").groupBy("label", "vec").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("size"))
+    return rows, cut(nodes.withColumn("dim", F.size("vec")).withColumn("key", F.monotonically_increasing_id()))
+
+
+def _searched(nodes: DataFrame, threshold: float, shard_rows: int) -> DataFrame:
+    """FOUND rows: each node's weighted number of links, edges of spanning forests, and the audits, of every pair of shards."""
     counts = nodes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
-    dealt = nodes.join(counts, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
+    total = counts.agg(F.sum("shards")).first()[0] or 1
+    dealt = nodes.join(counts, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("key"), F.col("shards")).cast("int"))
+    # as many tasks as shards: their work grows with the square of their rows, which sizes in bytes don't tell
+    dealt = dealt.select("label", "dim", "shards", "shard", "key", "size", "vec").repartition(2 * total, "label", "dim", "shard")
 
     def index(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("node").to_numpy(), kind="stable")
-        node, size = table.column("node").to_numpy()[order], table.column("size").to_numpy()[order]
+        order = np.argsort(table.column("key").to_numpy(), kind="stable")
+        key, size = table.column("key").to_numpy()[order], table.column("size").to_numpy()[order]
         vec = table.column("vec").combine_chunks().flatten().to_numpy().reshape(len(order), -1)[order]
         big = np.abs(vec).max(1, keepdims=True)
         unit = vec / big
@@ -225,38 +271,68 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, shard_rows: int =
         graph = Graph(unit)
         packed = [np.concatenate([layer.ravel() for layer in graph.layers]).tobytes(), np.array([len(graph.layers)] + [x for mm in graph.members for x in (len(mm), *mm)], np.int32).tobytes()]
         first = table.slice(0, 1)
-        made = [node.astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), unit.tobytes(), *packed]
-        return pa.table([first.column("label"), first.column("dim"), first.column("shard"), *(pa.array([b], pa.binary()) for b in made)], names=["label", "dim", "shard", "node", "size", "unit", "links", "members"])
-
-    label_type = vectors.schema[label_col].dataType.simpleString()
-    indexes = cut(dealt.select("label", "dim", "shard", "node", "size", "vec").groupBy("label", "dim", "shard").applyInArrow(index, f"label {label_type}, dim int, shard int, node binary, size binary, unit binary, links binary, members binary"))
-    asked = indexes.select("label", "dim", F.struct("shard", "node", "size", "unit", "links", "members").alias("a"))
-    asking = indexes.select("label", "dim", F.struct("shard", "node", "size", "unit").alias("b"))
-    pairs = asked.join(asking, ["label", "dim"]).where("a.shard <= b.shard").select("dim", "a", "b").repartition(F.xxhash64("a.node", "b.node"))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                dim, a, b = (batch.column(c)[row].as_py() for c in ("dim", "a", "b"))
-                yield _searched(dim, a, b, threshold)
-
-    found = cut(pairs.mapInArrow(search, "node long, links long, other long"))
-    linked = found.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
-    groups = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    known = nodes.join(linked, "node", "left").join(groups, "node", "left").select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"), F.coalesce("component", "node").alias("component"))
-    out = real.join(known, ["label", "vec"]).select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
+        made = [key.astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), unit.tobytes(), *packed]
+        names = ["label", "dim", "shards", "shard"]
+        return pa.table([*(first.column(c) for c in names), *(pa.array([b], pa.binary()) for b in made)], names=[*names, "key", "size", "unit", "links", "members"])
+
+    label_type = nodes.schema["label"].dataType.simpleString()
+    indexes = cut(dealt.groupBy("label", "dim", "shards", "shard").applyInArrow(index, f"label {label_type}, dim int, shards int, shard int, key binary, size binary, unit binary, links binary, members binary"))
+    # of two shards one asks the other: shard a is asked by all from a on, some of them in each task
+    turn_of = lambda c: F.floor(c / F.greatest(F.lit(1), F.floor(F.lit(ASKING // (8 * shard_rows)) / F.col("dim")))).cast("int")
+    asked = indexes.withColumn("turn", F.explode(F.sequence(turn_of(F.col("shard")), turn_of(F.col("shards") - 1))))
+    asking = indexes.select("label", "dim", F.explode(F.sequence(F.lit(0), "shard")).alias("shard"), F.col("shard").alias("asking"), "key", "size", "unit").withColumn("turn", turn_of(F.col("asking")))
+    deal = lambda side: side.repartition(2 * total, "label", "dim", "shard", "turn")
+
+    def search(asked: pa.Table, asking: pa.Table) -> pa.Table:
+        a = asked.to_pylist()[0]
+        graph, out = _graph(np.frombuffer(a["unit"], np.float64).reshape(-1, a["dim"]), a), []
+        for b in asking.select(["asking", "key", "size", "unit"]).to_pylist():
+            out.append(_pair(graph, a, b, threshold))
+        return pa.Table.from_batches(out)
+
+    keys = ("label", "dim", "shard", "turn")
+    return cut(deal(asked).groupBy(*keys).cogroup(deal(asking).groupBy(*keys)).applyInArrow(search, FOUND))
+
+
+@tidy
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, shard_rows: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """vec_id, n_links, component_id, kept for each row of vectors; links join equal labels at cosine >= threshold.
+
+    Equal vectors of a label are one node with their number, so copies are never paired. Each label's nodes are dealt
+    into shards of about shard_rows; each shard has a graph; every node queries every shard of its label (of two shards,
+    one asks the other); what searches find is verified in double precision, and counts and a spanning forest, not
+    pairs, leave a pair of shards. A null label, a null, zero or empty vector, one with null or non-finite components,
+    and a row with a null id link with nothing: n_links 0, component_id its own id, kept true (null id: null and
+    false). Vectors of different lengths never link. Repeated rows, and rows of one id, are vectors of their own. An empty
+    table gives no rows. Other columns are not read.
+    """
+    rows, nodes = _nodes(vectors, id_col, vector_col, label_col)
+    found = _searched(nodes, threshold, shard_rows)
+    linked = found.where("links is not null").groupBy("key").agg(F.sum("links").alias("links"))
+    groups = components(found.where("other is not null").select(F.col("key").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "key")
+    placed = nodes.join(linked, "key", "left").join(groups, "key", "left").select("label", "vec", "node", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"), F.coalesce("component", "key").alias("component"))
+    least = placed.groupBy("component").agg(F.min("node").alias("least"))
+    # written, so that hot keys are split in the join of all rows below
+    known = cut(placed.join(least, "component").select("label", "vec", F.col("links").alias("n_links"), F.col("least").alias("component_id")))
+    out = rows.where("vec is not null").join(known, ["label", "vec"]).select("vec_id", "n_links", "component_id")
     rest = rows.where("vec is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _searched(dim: int, a: dict, b: dict, threshold: float) -> pa.RecordBatch:
-    """Links between two shards (or within one), as each node's weighted number and a spanning forest."""
-    read = lambda s: (np.frombuffer(s["node"], np.int64), np.frombuffer(s["size"], np.int64), np.frombuffer(s["unit"], np.float64).reshape(-1, dim))
+@tidy
+def recall_audits(vectors: DataFrame, threshold: float = 0.93, shard_rows: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """(shard, asking, ef, audited, found) for each search of near_vectors(): the beam it ended with, and how much of what a full scan has for the sampled queries its walks found."""
+    _, nodes = _nodes(vectors, id_col, vector_col, label_col)
+    return _searched(nodes, threshold, shard_rows).where("ef is not null").select("shard", "asking", "ef", "audited", "found")
+
+
+def _pair(graph: Graph, a: dict, b: dict, threshold: float) -> pa.RecordBatch:
+    """Links between two shards (or within one), as each node's weighted number and a spanning forest; and the search's audit."""
+    read = lambda s: (np.frombuffer(s["key"], np.int64), np.frombuffer(s["size"], np.int64), np.frombuffer(s["unit"], np.float64).reshape(-1, a["dim"]))
     (node_a, size_a, unit_a), (node_b, size_b, unit_b) = read(a), read(b)
-    graph = _graph(unit_a, a)
-    same = a["shard"] == b["shard"]
+    same = a["shard"] == b["asking"]
     slack = 1e-5  # searches run in single precision; what they find is verified in double
-    q, r = audited(graph, unit_b.astype(np.float32), threshold - slack)
+    q, r, audit = audited(graph, unit_b.astype(np.float32), threshold - slack, own=same)
     if same:
         q, r = np.minimum(q, r), np.maximum(q, r)
         key = np.unique(q * len(node_a) + r)
@@ -283,17 +359,20 @@ def _searched(dim: int, a: dict, b: dict, threshold: float) -> pa.RecordBatch:
     edge = np.array(edges, np.int64).reshape(-1, 2)
     some = np.flatnonzero(counts)
     n, e = len(some), len(edge)
+    blank = lambda k, t=pa.int64(): pa.nulls(k, t)
+    told = [pa.concat_arrays([blank(n + e, t), pa.array([v], t)]) for v, t in ((a["shard"], pa.int32()), (b["asking"], pa.int32()), (audit.ef, pa.int32()), (audit.true, pa.int64()), (audit.found, pa.int64()))]
     return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([nodes[some], nodes[edge[:, 0]]]), pa.int64()),
-        pa.concat_arrays([pa.array(counts[some].astype(np.int64)), pa.nulls(e, pa.int64())]),
-        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(nodes[edge[:, 1]], pa.int64())]),
-    ], names=["node", "links", "other"])
+        pa.concat_arrays([pa.array(np.concatenate([nodes[some], nodes[edge[:, 0]]]), pa.int64()), blank(1)]),
+        pa.concat_arrays([pa.array(counts[some].astype(np.int64)), blank(e + 1)]),
+        pa.concat_arrays([blank(n), pa.array(nodes[edge[:, 1]], pa.int64()), blank(1)]),
+        *told,
+    ], names=[c.split()[0] for c in FOUND.split(", ")])
 
 
 def _graph(unit: np.ndarray, stored: dict) -> Graph:
     """The graph that index() stored."""
     graph = Graph.__new__(Graph)
-    graph.unit, graph.m = unit.astype(np.float32), 12
+    graph.unit, graph.m, graph.walks = unit.astype(np.float32), 12, 0
     told, flat = np.frombuffer(stored["members"], np.int32), np.frombuffer(stored["links"], np.int32)
     graph.members, graph.layers, at, used = [], [], 1, 0
     for height in range(int(told[0])):
