@@ -32,7 +32,10 @@ def _runs(mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def confirm_passages(weights: np.ndarray, lengths: np.ndarray, text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, start, end) of the passages in some segments: runs of windows that occur twice or more, weights counted, compared word by word."""
+    """(segment, start, end) of the passages in some segments: runs of windows that occur twice or more, weights counted, compared word by word.
+
+    Segments with fewer words than a window have none.
+    """
     ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     texts = pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(text)])
     words, at = split_words(texts)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from kinlink.llm.store import cut
-from kinlink.llm.text import CHUNK, flat_bytes, inverses, mixed, powers, spaced, split_words, word_hashes
+from kinlink.llm.text import CHUNK, binaries, flat, flat_bytes, inverses, mixed, powers, spaced, split_words, word_hashes
 
 #: Bytes of text in a batch, and in what a bucket or a shard is meant to look after.
 BATCH, BUCKET, SHARD = 4 << 20, 32 << 20, 2 << 20
@@ -106,18 +106,6 @@ def _extreme(x: np.ndarray, span: int, of: Callable) -> np.ndarray:
     return x
 
 
-def _binaries(data: bytes | np.ndarray, edges: np.ndarray) -> pa.Array:
-    """A binary array of the pieces of data between edges (in bytes)."""
-    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(data)])
-
-
-def _flat(column: pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
-    """All values in a binary column, and how many each row has."""
-    parts = [flat_bytes(c) for c in column.chunks]
-    data = np.concatenate([np.zeros(0, np.uint8), *(d for d, _ in parts)])
-    return data.view(dtype), np.concatenate([np.zeros(0, np.int64), *(np.diff(at) for _, at in parts)]) // np.dtype(dtype).itemsize
-
-
 class Batch:
     """One batch's documents in a fixed order, without those that only repeat another's text."""
 
@@ -229,10 +217,10 @@ def shared(docs: DataFrame, kind: Kind, locate: Callable, finish: Callable, sche
         # 39 bits of the anchor, and one that tells if it occurs at several places
         short = ((value >> np.uint64(24)) & ~np.uint64(1)) | several.astype(np.uint64)
         short = np.ascontiguousarray(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-        return pa.table([pa.array(bucket[edges[:-1]].astype(np.int64)), pa.array(np.full(len(edges) - 1, home(table), np.int64)), _binaries(short, 5 * edges)], names=["bucket", "batch", "anchors"])
+        return pa.table([pa.array(bucket[edges[:-1]].astype(np.int64)), pa.array(np.full(len(edges) - 1, home(table), np.int64)), binaries(short, 5 * edges)], names=["bucket", "batch", "anchors"])
 
     def answer(table: pa.Table) -> pa.Table:
-        short, count = _flat(table.column("anchors"), "u1")
+        short, count = flat(table.column("anchors"), "u1")
         wide = np.zeros((len(short) // 5, 8), np.uint8)
         wide[:, :5] = short.reshape(-1, 5)
         value = wide.view("<u8").ravel()
@@ -240,7 +228,7 @@ def shared(docs: DataFrame, kind: Kind, locate: Callable, finish: Callable, sche
         many = times > 1
         many[back[(value & np.uint64(1)) > 0]] = True
         edges = np.concatenate([[0], np.cumsum(count // 5)])
-        return pa.table([table.column("batch"), pa.array(np.full(len(count), FOUND, np.int32)), table.column("bucket"), _binaries(many[back].view(np.uint8), edges)], names=["batch", "kind", "key", "payload"])
+        return pa.table([table.column("batch"), pa.array(np.full(len(count), FOUND, np.int32)), table.column("bucket"), binaries(many[back].view(np.uint8), edges)], names=["batch", "kind", "key", "payload"])
 
     def send_segments(table: pa.Table, mail: pa.Table) -> pa.Table:
         b = Batch(table, mail, kind)
@@ -258,11 +246,11 @@ def shared(docs: DataFrame, kind: Kind, locate: Callable, finish: Callable, sche
         ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
         parts = [(order.astype("<u4"), 4 * edges), (ids[b.row[lead[order]]].astype("<i8"), 8 * edges), (weight[order], 4 * edges), (length, 4 * edges), (b"".join(texts), ends[edges])]
         keys = [pa.array(shard[edges[:-1]].astype(np.int64)), pa.array(np.full(len(edges) - 1, home(table), np.int64))]
-        return pa.table([*keys, *(_binaries(data, at) for data, at in parts)], names=["shard", "batch", "seg", "doc", "weight", "length", "text"])
+        return pa.table([*keys, *(binaries(data, at) for data, at in parts)], names=["shard", "batch", "seg", "doc", "weight", "length", "text"])
 
     def look(table: pa.Table) -> pa.Table:
-        seg, count = _flat(table.column("seg"), "<u4")
-        doc, weight, length = (_flat(table.column(c), t)[0] for c, t in (("doc", "<i8"), ("weight", "<u4"), ("length", "<u4")))
+        seg, count = flat(table.column("seg"), "<u4")
+        doc, weight, length = (flat(table.column(c), t)[0] for c, t in (("doc", "<i8"), ("weight", "<u4"), ("length", "<u4")))
         text = np.concatenate([flat_bytes(c)[0] for c in table.column("text").chunks])
         ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
         # a segment that several batches have is looked at once
@@ -285,7 +273,7 @@ def shared(docs: DataFrame, kind: Kind, locate: Callable, finish: Callable, sche
         home_ = np.repeat(np.arange(len(count)), count)[owner]
         order = np.argsort(home_, kind="stable")
         edges = np.searchsorted(home_[order], np.arange(len(count) + 1))
-        out = pa.table([table.column("batch"), pa.array(np.full(len(count), RANGES, np.int32)), table.column("shard"), _binaries(np.ascontiguousarray(triples[order]), 12 * edges)], names=["batch", "kind", "key", "payload"])
+        out = pa.table([table.column("batch"), pa.array(np.full(len(count), RANGES, np.int32)), table.column("shard"), binaries(np.ascontiguousarray(triples[order]), 12 * edges)], names=["batch", "kind", "key", "payload"])
         return out.filter(pa.array(np.diff(edges) > 0))
 
     def gather(table: pa.Table, mail: pa.Table) -> pa.Table:
@@ -307,5 +295,5 @@ def schema_names(schema: str) -> list[str]:
 
 
 def arrow_schema(schema: str) -> pa.Schema:
-    types = {"long": pa.int64(), "string": pa.string()}
+    types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     return pa.schema([(part.split()[0], types[part.split()[1]]) for part in schema.split(", ")])

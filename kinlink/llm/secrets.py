@@ -13,6 +13,9 @@ ASSIGN = "(" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c
 ACCESS, HEX = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
+#: What begins a secret whose rest follows, for operators that would cut it in two.
+LEAD_IN = r"(?:(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]*|AKIA[A-Z0-9]*|[0-9a-f]{8,})\Z"
+
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 #: Least entropy in bits per character of some window, by the class of the candidate.
@@ -91,7 +94,7 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", length_col: str | None = "n_chars", thresholds: dict[str, float] = THRESHOLDS, window: int = WINDOW, allow: tuple[str, ...] = ALLOW) -> DataFrame:
-    """docs with every run of overlapping spans replaced by mark; a null text stays null.
+    """docs with every run of overlapping spans replaced by mark; a null text stays null; repeated rows repeat; an empty table stays empty.
 
     All columns of docs stay, in order, whatever their names; length_col, where docs has it, gets the new length.
     """

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinlink.llm.graph import components
-from kinlink.llm.store import cut
+from kinlink.llm.store import cut, tidy
 from kinlink.llm.text import slices, split_words, texts_of
 
 #: A fingerprint's cell is the population counts of its four 16-bit quarters.
@@ -117,6 +117,7 @@ def links(distinct: DataFrame, radius: int = 2, tile: int = 2048) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+@tidy
 def near_groups(docs: DataFrame, size: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable by links of at most radius bits).
 
@@ -129,5 +130,6 @@ def near_groups(docs: DataFrame, size: int = 3, radius: int = 2, id_col: str = "
     groups = components(links(nodes.select("fp"), radius)).withColumnsRenamed({"node": "fp", "component": "root"})
     rooted = cut(nodes.join(groups, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    # written, so that the engine splits a hot fingerprint in the join of all rows
+    known = cut(rooted.select("fp", "root").join(named, "root").select("fp", "component_id"))
     return fps.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

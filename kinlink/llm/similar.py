@@ -7,16 +7,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from kinlink.llm.graph import components
-from kinlink.llm.store import cut, drop
-from kinlink.llm.text import rows_of, slices, spaced, split_words, texts_of, word_hashes
+from kinlink.llm.store import cut, drop, tidy
+from kinlink.llm.text import ODD, binaries, flat, rows_of, slices, spaced, split_words, texts_of, word_hashes
 
 #: Shingles that HEAVY of about SAMPLE documents share come last in the order of shingles. This steers only the time taken.
 SAMPLE, HEAVY = 8000, 16
 #: Shingles of a document are counted in so many bins; the counts bound how many shingles two documents share.
 BINS = 256
+#: Bytes of text whose tokens a bucket is meant to look after.
+BUCKET = 32 << 20
+GROUP = "near_group"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -44,13 +47,19 @@ def _shingles(texts: pa.Array, size: int, heavy: np.ndarray, weight: np.ndarray)
     words, at = split_words(pc.ascii_lower(texts))
     of, counts = word_hashes(*spaced(words)), np.diff(at)
     number = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-    starts = np.concatenate([[0], np.cumsum(number)])
     row = np.repeat(np.arange(len(texts)), number)
-    first = at[:-1][row] + np.arange(starts[-1]) - starts[:-1][row]
-    hashes = np.full(starts[-1], 42, np.uint64)
-    for k in range(size):
-        some = k < counts[row]
-        hashes[some] = _mixed((hashes[some] << np.uint64(1)) ^ of[first[some] + k])
+    begin = np.cumsum(number) - number
+    first = at[:-1][row] + np.arange(len(row)) - begin[row]
+    of = np.concatenate([of, np.zeros(size, np.uint64)])
+    sums = of[: len(words)].copy()
+    for k in range(1, size):  # of all places, also those where a shingle would leave its row
+        sums = sums * np.uint64(ODD) + of[k : k + len(words)]
+    hashes = _mixed(sums[first])
+    for i in np.flatnonzero((counts > 0) & (counts < size)).tolist():  # a short text is one shingle
+        code = int(counts[i])
+        for h in of[at[i] : at[i + 1]].tolist():
+            code = (code * ODD + h) % (1 << 64)
+        hashes[begin[i]] = _mixed(np.array([code], np.uint64))[0]
     place = np.minimum(np.searchsorted(heavy, hashes), max(len(heavy) - 1, 0))
     load = np.where(heavy[place] == hashes, weight[place], 0) if len(heavy) else np.zeros(len(hashes), np.int64)
     order = _ordered(row, load, hashes)
@@ -70,6 +79,49 @@ def _nodes(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mixed((total[at[1:]] - total[at[:-1]]) ^ np.diff(at).astype(np.uint64)).view(np.int64)
 
 
+def _packed(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+    """The tokens of a batch's distinct nodes, one row a bucket: token, node and size of each as binaries."""
+    node, n, prefix = batch.column("node").to_numpy(), batch.column("n").to_numpy(), batch.column("prefix")
+    at = prefix.offsets.to_numpy().astype(np.int64)
+    token = prefix.flatten().to_numpy()
+    _, once = np.unique(node, return_index=True)
+    some = np.zeros(len(node), bool)
+    some[once] = True
+    row = np.repeat(np.arange(len(node)), np.diff(at))
+    keep = some[row]
+    token, row = token[keep], row[keep]
+    bucket = (token.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, token, row = bucket[order], token[order], row[order]
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
+    made = [pa.array(bucket[edges[:-1]], pa.int64()), binaries(token, 8 * edges), binaries(node[row], 8 * edges), binaries(n[row].astype(np.int32), 4 * edges)]
+    return pa.RecordBatch.from_arrays(made, names=["bucket", "token", "node", "n"])
+
+
+def _met(table: pa.Table, threshold: float) -> pa.Table:
+    """A bucket's tokens that several nodes have, (token, node, n); and, with a null token, (node, other) that are neighbours by size or by chance at one token and whose sizes allow the threshold."""
+    token, node, n = (flat(table.column(c), t)[0] for c, t in (("token", "<i8"), ("node", "<i8"), ("n", "<i4")))
+    order = np.lexsort((node, token))
+    token, node, n = token[order], node[order], n[order]
+    fresh = np.ones(len(token), bool)
+    fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+    token, node, n = token[fresh], node[fresh], n[fresh]
+    same = token[1:] == token[:-1]
+    met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    token, node, n = token[met[: len(token)]], node[met[: len(token)]], n[met[: len(token)]]
+    pairs = [np.zeros((0, 2), np.int64)]
+    for order in (np.lexsort((n, token)), np.lexsort((_mixed((token ^ node).view(np.uint64)), token))):
+        t, x, size = token[order], node[order], n[order]
+        at = np.flatnonzero(t[1:] == t[:-1])
+        at = at[_fit(size[at], size[at + 1], threshold)]
+        pairs.append(np.stack([x[at], x[at + 1]], 1))
+    pairs = np.concatenate(pairs)
+    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+    m, k = len(token), len(pairs)
+    columns = [pa.concat_arrays([pa.array(token), pa.nulls(k, pa.int64())]), pa.array(np.concatenate([node, pairs[:, 0]])), pa.concat_arrays([pa.array(n, pa.int32()), pa.nulls(k, pa.int32())]), pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(pairs[:, 1])])]
+    return pa.table(columns, names=["token", "node", "n", "other"])
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Batches sorted by token, cut anew so that no token is in two of them."""
     held: list[pa.RecordBatch] = []
@@ -86,36 +138,33 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _met(rows: DataFrame, threshold: float, every: bool) -> DataFrame:
-    """(a, b): nodes of different components with a token in common whose sizes allow the threshold. Not every: neighbours only, in two orders."""
+def _others(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): nodes of different components with a token in common whose sizes allow the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
             token, node, n, component = (table.column(c).to_numpy() for c in ("token", "node", "n", "component"))
-            chance = _mixed((token ^ node).view(np.uint64))
-            for order in (np.lexsort((n, token)), np.lexsort((chance, token)))[: 1 if every else 2]:
-                t, x, size, c = token[order], node[order], n[order], component[order]
-                at, step = np.arange(len(t)), 0
-                while len(at):
-                    step += 1
-                    at = at[at < len(t) - step]
-                    at = at[t[at] == t[at + step]]
-                    least, most = np.minimum(size[at], size[at + step]), np.maximum(size[at], size[at + step])
-                    fits = least >= threshold * most - 1e-9
-                    if every:  # sizes ascend: those further on fit no better
-                        at, some = at[fits], fits[fits]
-                    else:
-                        some = fits
-                    some &= c[at] != c[at + step]
-                    a, b = x[at[some]], x[at[some] + step]
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-                    if not every:
-                        break
+            order = np.lexsort((n, token))
+            t, x, size, c = token[order], node[order], n[order], component[order]
+            at, step = np.arange(len(t)), 0
+            while len(at):
+                step += 1
+                at = at[at < len(t) - step]
+                at = at[t[at] == t[at + step]]
+                at = at[_fit(size[at], size[at + step], threshold)]  # sizes ascend: those further on fit no better
+                some = at[c[at] != c[at + step]]
+                a, b = x[some], x[some + step]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long").distinct()
 
 
+def _fit(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets of these sizes can have the Jaccard."""
+    return np.minimum(x, y) >= threshold * np.maximum(x, y) - 1e-9
+
+
 def _bounded(pairs: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose sketches leave the threshold possible: sets differ at least by the sum of what their bins differ by."""
 
@@ -146,27 +195,33 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, group) for each row of docs: documents joined by pairs whose shingles of `size` words have Jaccard >= threshold.
+@tidy
+def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """Columns `keep` of docs (all unless given), whatever their names, and group, for each row: documents joined by pairs whose shingles of `size` words have Jaccard >= threshold.
 
-    Ids are not null, and rows of one id have one text. Words are ASCII-lowered; a text of fewer words is one shingle;
-    texts without words are one group. No pair is missed: sets that similar share one of their first
+    Words are ASCII-lowered; a text of fewer words is one shingle; null texts and texts without words are one group;
+    repeated rows share one; an empty table gives no rows. No pair is missed: sets that similar share one of their first
     n - ceil(threshold n) + 1 shingles in any one order of all shingles. Sets that share one are candidates; neighbours
     among them are held against each other first, then all that are not of one component yet. Candidates that counts in
-    bins cannot rule out are compared by their whole sets of 64-bit hashes.
+    bins cannot rule out are compared by their whole sets of 64-bit hashes. Tokens are dealt in buckets, as arrays.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    kept = docs.select(F.struct(*(keep or docs.columns)).alias("row"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    texts = kept.select("text", "mark")
     none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    total, count = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    buckets = (total or 0) // BUCKET + 1
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):
             yield pa.RecordBatch.from_arrays([pa.array(_shingles(texts_of(batch), size, *none)[0].view(np.int64))], names=["token"])
 
-    sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, texts.count() // SAMPLE))) == 0)
+    sample = texts.where(F.pmod(F.hash("mark"), F.lit(max(1, count // SAMPLE))) == 0)
     common = sample.mapInArrow(tokens, "token long").groupBy("token").count().where(F.col("count") >= HEAVY).collect()
     heavy, weight = np.array([r["token"] for r in common], np.int64).view(np.uint64), np.array([r["count"] for r in common], np.int64)
     by_hash = np.argsort(heavy)
     heavy, weight = heavy[by_hash], weight[by_hash]
+    names = ["row", "mark", "node", "n", "sketch", "prefix"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):
@@ -175,47 +230,47 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, id_co
             prefix = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
             early = np.arange(len(hashes)) - at[:-1][row] < prefix[row]
             bins = np.bincount(row * BINS + (hashes >> np.uint64(56)).astype(np.int64), minlength=len(n) * BINS)
-            sketch = np.minimum(bins, 255).astype(np.uint8).tobytes()
-            columns = [batch.column("doc_id"), pa.array(_nodes(hashes, at)), pa.array(n.astype(np.int32)), pa.array([sketch[i * BINS : (i + 1) * BINS] for i in range(len(n))], pa.binary()), _lists(hashes[early], np.concatenate([[0], np.cumsum(prefix)]))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "sketch", "prefix"])
+            sketch = binaries(np.minimum(bins, 255).astype(np.uint8), BINS * np.arange(len(n) + 1))
+            columns = [batch.column("row"), batch.column("mark"), pa.array(_nodes(hashes, at)), pa.array(n.astype(np.int32)), sketch, _lists(hashes[early], np.concatenate([[0], np.cumsum(prefix)]))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):
             hashes, at = _shingles(texts_of(batch), size, *none)
             yield pa.RecordBatch.from_arrays([pa.array(_nodes(hashes, at)), _lists(hashes, at)], names=["node", "hashes"])
 
-    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches):
-            token = table.column("token").to_numpy()
-            same = token[1:] == token[:-1]
-            met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-            yield from table.filter(pa.array(met)).to_batches()
-
-    rows = cut(texts.mapInArrow(sets, "doc_id long, node long, n int, sketch binary, prefix array<long>"))
-    single = cut(rows.dropDuplicates(["node"]))
-    members = cut(rows.select("doc_id", "node"))
-    drop(rows)
-    exploded = single.select(F.explode("prefix").alias("token"), "node", "n").repartition("token").sortWithinPartitions("token")
-    shared = cut(exploded.mapInArrow(alone, "token long, node long, n int"))
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _packed(batch, buckets)
+
+    schema = T.StructType([kept.schema["row"], kept.schema["mark"], *T.StructType.fromDDL("node long, n int, sketch binary, prefix array<long>")])
+    rows = cut(kept.mapInArrow(sets, schema))
+    packed = rows.select("node", "n", "prefix").mapInArrow(deal, "bucket long, token binary, node binary, n binary")
+    dealt = cut(packed.groupBy("bucket").applyInArrow(lambda t: _met(t, threshold), "token long, node long, n int, other long"))
+    nodes = rows.select("node", "n", "sketch", "mark")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        side = lambda x: single.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        # sizes and sketches of what is asked for, one row a node
+        sides = cut(nodes.join(asked, "node", "left_semi").dropDuplicates(["node"]))
+        side = lambda x: sides.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
         likely = cut(_bounded(pairs.join(side("a"), "a").join(side("b"), "b"), threshold))
-        asked = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct().join(single, "node").select("doc_id")
-        sets_of = cut(texts.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(whole, "node long, hashes array<long>"))
+        asked = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        marks = sides.join(asked, "node", "left_semi").select("mark").distinct()
+        sets_of = cut(texts.join(marks, "mark", "left_semi").dropDuplicates(["text"]).mapInArrow(whole, "node long, hashes array<long>").dropDuplicates(["node"]))
         side = lambda x, name: sets_of.select(F.col("node").alias(x), F.col("hashes").alias(name))
         out = cut(_verified(likely.join(side("a", "left"), "a").join(side("b", "right"), "b"), threshold))
-        drop(likely)
-        drop(sets_of)
+        for table in (sides, likely, sets_of):
+            drop(table)
         return out
 
-    first = cut(_met(shared.withColumn("component", F.col("node")), threshold, False))
+    first = dealt.where("token is null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
     links = verified(first)
     known = components(links).withColumnRenamed("node", "member")
-    placed = shared.join(known, F.col("node") == F.col("member"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component"))
-    more = cut(_met(placed, threshold, True).join(first, ["a", "b"], "left_anti"))
+    placed = dealt.where("token is not null").join(known, F.col("node") == F.col("member"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component"))
+    more = cut(_others(placed, threshold).join(first, ["a", "b"], "left_anti"))
     late = verified(more)
-    groups = components(links.union(late)).withColumnRenamed("node", "member")
-    for table in (single, shared, first, more, links, late):
-        drop(table)
-    return members.join(groups, F.col("node") == F.col("member"), "left").select("doc_id", F.coalesce("component", "node").alias("group"))
+    # written, so that the engine splits a hot set in the join of all rows
+    groups = cut(components(links.union(late)).withColumnRenamed("node", "member"))
+    placed = rows.select("row", "node").join(groups, F.col("node") == F.col("member"), "left")
+    return placed.select("row.*", F.coalesce("component", "node").alias(GROUP))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinlink.llm.repeats import Batch, Kind, shared
@@ -14,6 +14,8 @@ from kinlink.llm.store import cut
 
 #: Bytes sorted in one suffix array; a routed group with more is several shards, merged by binary search.
 ARRAY_BYTES = 1 << 20
+#: Bytes before the end of a removed run in which what is to be kept is looked for.
+LOOK_BACK = 256
 #: Bytes of common prefixes compared for all suffixes in step, before the few longer ones are compared one by one.
 STEPS = 256
 _MOST = np.iinfo(np.int64).max
@@ -118,7 +120,10 @@ def _shard(data: np.ndarray, docs: np.ndarray, valid: np.ndarray, size: int) ->
 
 
 def locate_repeats(docs: np.ndarray, lengths: np.ndarray, text: bytes, size: int, array_bytes: int = ARRAY_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, start, end) of the byte ranges covered by strings of `size` bytes that start in a document with a smaller id."""
+    """(segment, start, end) of the byte ranges covered by strings of `size` bytes that start in a document with a smaller id.
+
+    Segments shorter than that hold none, and segments of one id don't count against each other.
+    """
     raw, ends = np.frombuffer(text, np.uint8) + np.uint8(1), np.cumsum(lengths)
     starts = ends - lengths
     # shards of whole segments
@@ -151,7 +156,18 @@ def locate_repeats(docs: np.ndarray, lengths: np.ndarray, text: bytes, size: int
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool) -> DataFrame:
+def _given_back(gone: np.ndarray, raw: bytes, pattern: re.Pattern) -> np.ndarray:
+    """gone without what the pattern finds at the end of a removed run that text follows."""
+    edges = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+    for a, b in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist(), strict=True):
+        if b < len(raw) and (found := pattern.search(raw, max(a, b - LOOK_BACK), b)):
+            gone[found.start() : b] = False
+    return gone
+
+
+def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool, keep: str | None = None) -> DataFrame:
+    kept_back = re.compile(keep.encode()) if keep else None
+
     def finish(b: Batch, buckets: int) -> list[pa.Array]:
         mask, place = b.covered(buckets), {n: i for i, n in enumerate(b.used)}
         columns = [], [], [], [], [], []
@@ -164,18 +180,20 @@ def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, d
                 gone = mask[b.units.at[place[n]] : b.units.at[place[n] + 1]]
             else:
                 gone = np.zeros(len(data), bool)
+            if kept_back:
+                gone = _given_back(gone, raw, kept_back)
             kept = data[~gone].tobytes()
             spans = int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum())
             last = hashlib.sha256(kept).hexdigest() if digests else kept.decode("utf-8", "ignore")
-            for column, x in zip(columns, (b.ids[n], len(data), int(gone.sum()), spans, last, np.uint64(xxhash.xxh64_intdigest(raw, 42)).astype(np.int64)), strict=True):
+            for column, x in zip(columns, (b.ids[n], len(data), int(gone.sum()), spans, last, hashlib.sha256(raw).digest()), strict=True):
                 column.append(x)
-        return [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string()), pa.array(columns[5], pa.int64())]
+        return [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string()), pa.array(columns[5], pa.binary())]
 
     def locate(ids, weights, lengths, text):
         return locate_repeats(ids, lengths, text, size)
 
     last = "kept_sha256" if digests else "text"
-    return shared(docs, Kind("bytes", size, gram, True), locate, finish, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} string, text_hash long", id_col, text_col)
+    return shared(docs, Kind("bytes", size, gram, True), locate, finish, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} string, text_hash binary", id_col, text_col)
 
 
 def remove_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,11 +211,15 @@ def remove_repeats_digests(docs: DataFrame, size: int = 50, gram: int = 18, id_c
     return _suffix(docs, size, gram, id_col, text_col, True).drop("text_hash")
 
 
-def without_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
-    """docs, all rows and columns kept whatever their names, with each text as remove_repeats() leaves it; length_col, where docs has it, gets the new length."""
-    left = _suffix(docs, size, gram, id_col, text_col, False).where("n_removed > 0")
+def without_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", keep: str | None = None) -> DataFrame:
+    """docs, all rows and columns kept whatever their names, with each text as remove_repeats() leaves it; length_col, where docs has it, gets the new length.
+
+    keep: a pattern for what stays at the end of a removed run where text follows it, so that it isn't cut in two. Nulls,
+    empty tables and repeated rows are as in remove_repeats(); a null text stays null.
+    """
+    left = _suffix(docs, size, gram, id_col, text_col, False, keep).where("n_removed > 0")
     left = cut(left.select(F.col("doc_id").alias("left_id"), F.col("text_hash").alias("left_hash"), F.col("text").alias("left_text")).dropDuplicates(["left_id", "left_hash"]))
-    rows = docs.select(F.struct("*").alias("row_"), F.col(id_col).cast("long").alias("id_"), F.xxhash64(F.col(text_col).cast("string")).alias("hash_"))
+    rows = docs.select(F.struct("*").alias("row_"), F.col(id_col).cast("long").alias("id_"), F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)).alias("hash_"))
     joined = rows.join(left, (F.col("id_") == F.col("left_id")) & (F.col("hash_") == F.col("left_hash")), "left")
     changed = F.col("left_id").isNotNull()
     swap = {text_col: F.when(changed, F.col("left_text")).otherwise(F.col(f"row_.`{text_col}`"))}

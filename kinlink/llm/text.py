@@ -42,6 +42,18 @@ def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def binaries(data: bytes | np.ndarray, edges: np.ndarray) -> pa.Array:
+    """A binary array of the pieces of data between edges (in bytes)."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+
+def flat(column: pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values in a binary column, and how many each row has."""
+    parts = [flat_bytes(c) for c in column.chunks]
+    data = np.concatenate([np.zeros(0, np.uint8), *(d for d, _ in parts)])
+    return data.view(dtype), np.concatenate([np.zeros(0, np.int64), *(np.diff(at) for _, at in parts)]) // np.dtype(dtype).itemsize
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Maximal runs without ASCII white space, of all rows in turn, and each row's offsets into them."""
     data, at = flat_bytes(texts)

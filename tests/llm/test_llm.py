@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kinlink.llm import automata, bpe, graph, hnsw, packing, quality, queries, repeats, secrets, similar, simhash, suffix, urls
+from kinlink.llm import automata, bpe, graph, hnsw, packing, quality, queries, repeats, secrets, similar, simhash, store, suffix, urls
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -170,7 +170,7 @@ def test_secrets(docs):
 
 def test_urls(spark):
     pages = spark.createDataFrame([(1, "http://a.org/fr/x", '<a href="http://b.io/x"> <a href=http://c.io>'), (2, "http://b.io/", '<a href="https://D.io">'), (3, "http://e.com", '<a href="http://x.net/">'), (4, "HTTP://X.net/", None), (None, None, None), (5, "nourl", "x"), (6, "http://example.net/en/a?b", "")], "page_id long, url string, html string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(pages).collect()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(pages, damping=0.5, tolerance=1e-4).collect()}
     assert got == {1: ("a.org", "/fr/x", "org/fr/", "allow"), 2: ("b.io", "/", None, "allow"), 3: ("e.com", "", None, "block"), 4: ("x.net", "/", "net/", "block"), None: ("", "", None, "allow"), 5: ("", "", None, "allow"), 6: ("example.net", "/en/a", "example.net/en/", "allow")}
 
 
@@ -178,7 +178,7 @@ def test_urls_relative_to_scheme(spark):
     made = [(1, "http://a.com/", '<a href="//b.com/x?u=http://no.io/"> <a href=/own//path>'), (2, "http://b.com/", "<a href='HTTPS://C.com'>"), (3, "http://c.com/", "<a href=//x.net/>"), (4, "http://x.net/", "")]
     pages = spark.createDataFrame(made, "page_id long, url string, html string")
     assert {(r.src, r.dst) for r in urls.host_edges(pages).collect()} == {("a.com", "b.com"), ("b.com", "c.com"), ("c.com", "x.net")}
-    got = {r.page_id: r.verdict for r in urls.judge_urls(pages).collect()}
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, damping=0.5, tolerance=1e-4).collect()}
     assert got == dict.fromkeys(range(1, 5), "block")
 
 
@@ -230,7 +230,7 @@ def test_packing_near_copies(spark, tmp_path):
     got = queries.QUERIES["op9_best_fit_packing"](spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in got) == sorted(i for i, _ in made)
     assert len({r.bin_id for r in got if r.doc_id < 20}) == 8 and len({r.cluster for r in got if r.doc_id < 20}) == 1
-    assert len({r.cluster for r in got}) == 9
+    assert len({r.cluster for r in got}) == 9 and all(0 < r.fill <= 1 for r in got)
 
 
 def test_pipeline(spark, docs, tmp_path):
@@ -242,7 +242,8 @@ def test_pipeline(spark, docs, tmp_path):
         after = stage(spark, now, str(tmp_path)).cache()
         assert name == "best_fit_packing" or after.columns == table.columns
         if name == "quality_rules":
-            assert {r.doc_id for r in after.collect()} == {1, 5, 20, 21, 22}
+            # too few documents for a reference: the base rules decide
+            assert {r.doc_id for r in after.collect()} == {None, 1, 2, 5, 20, 21, 22}
         if name == "simhash_near_dedup":
             ids = [r.doc_id for r in after.collect()]
             assert 1 in ids and 5 not in ids
@@ -250,6 +251,35 @@ def test_pipeline(spark, docs, tmp_path):
     assert now.where("text is null and length > 0").count() == 0
 
 
+def test_pipeline_keeps_what_leads_in_a_secret(spark):
+    passage = "settings of the service are held in this file and nowhere else at all; "
+    made = [(1, passage + "password=hunter2hunter2x end"), (2, "intro " + passage + "password=abcdefgh12345678 end"), (3, passage + "AKIA" + "B" * 20), (4, passage + "AKIA" + "C" * 20), (5, passage)]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t), "x", 0) for i, t in made], SCHEMA)
+    now = corpus_pipeline.secret_scan(spark, corpus_pipeline.suffix_dedup(spark, table, ""), "")
+    got = {r.doc_id: r.text for r in now.collect()}
+    assert "[SECRET]" in got[2] and "abcdefgh" not in got[2] and passage not in got[2]
+    assert got[4].endswith("[SECRET]") and "CCC" not in got[4] and got[5] == ""
+
+
+def test_pipeline_runs_and_leaves_only_its_result(spark, docs, tmp_path, monkeypatch):
+    folder = tmp_path / "shared"
+    monkeypatch.setattr(store, "shared_dir", lambda _: str(folder))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r.doc_id for r in got.collect()} == {1} and len(list(folder.glob("kinlink/*/*"))) == 1
+    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    class Away:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "applicationId": "x"})
+
+    with pytest.raises(RuntimeError):
+        store.shared_dir(Away)
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -279,7 +309,8 @@ def test_pipeline_near_copies(spark, monkeypatch):
         for i, j in pairs:
             root[i] = root[j] = min(root[i], root[j])
     assert sum(sets[i] != sets[j] for i, j in pairs) > 50
-    for heavy in (similar.HEAVY, 3):
+    for heavy, bucket in ((similar.HEAVY, similar.BUCKET), (3, 5000)):
         monkeypatch.setattr(similar, "HEAVY", heavy)
+        monkeypatch.setattr(similar, "BUCKET", bucket)
         kept = corpus_pipeline.near_dedup(spark, table.union(table.limit(5)), "").collect()
         assert sorted(r.doc_id for r in kept) == sorted(set(root))

@@ -1,0 +1,335 @@
+"""Quality rules, secret scans, URL filters and packing against plain Python versions."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from kinlink.llm import packing, quality, queries, secrets, urls
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key long, row_ string, text_ string, classes string"
+
+
+def documents(spark, made):
+    """Rows of documents with columns whose names the operators use within."""
+    return spark.createDataFrame([(i, t, lang, "s", len(t or ""), 1, "x", "y", "z") for i, t, lang in made], DOCS)
+
+
+# quality rules
+
+
+def base(text):
+    words = WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
+    counts, repeat = Counter(windows), [False] * len(words)
+    for k, w in enumerate(windows):
+        if counts[w] > 1:
+            repeat[k : k + 8] = [True] * 8
+    n = len(words)
+    return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), sum(repeat), n < 20 or 100 * sum(repeat) > 30 * n
+
+
+def classes(text):
+    out = [0] * 8
+    for c in text or "":
+        if c in "abcdefghijklmnopqrstuvwxyz":
+            k = 0
+        elif c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
+            k = 1
+        elif c in "0123456789":
+            k = 2
+        elif c in " \t\n\v\f\r":
+            k = 3
+        elif c in ".,;:!?'\"()-":
+            k = 4
+        else:
+            k = 7 if ord(c) > 127 else 6 if ord(c) < 32 or ord(c) == 127 else 5
+        out[k] += 1
+    return out
+
+
+def bins(text):
+    words, languages = [0] * (len(quality.WORD_BINS) + 1), [0] * (len(quality.LANGUAGE_BINS) + 1)
+    for w in WORD.findall(text or ""):
+        w = w.lower().strip(".,;:!?'\"()")
+        words[quality.WORD_BINS.get(w, -1)] += 1
+        listed = tuple(x for x, ws in quality.COMMON_WORDS.items() if w in ws)
+        languages[quality.LANGUAGE_BINS[listed] if listed else -1] += 1
+    return words, languages
+
+
+def jensen_shannon(p, q):
+    p, q = np.array(p, float), np.array(q, float)
+    if not p.sum() or not q.sum():
+        return 0.0
+    p, q = p / p.sum(), q / q.sum()
+    m = (p + q) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        terms = np.where(p > 0, p * np.log2(p / m), 0) + np.where(q > 0, q * np.log2(q / m), 0)
+    return math.sqrt(max(0.0, terms.sum() / 2))
+
+
+def test_quality_rules(spark):
+    rng = random.Random(8)
+    stock = {"en": "the of and to water stone Bridge 12 tea% (old) road.".split(), "de": "der die und Brücke 7 von Tee & Haus, *".split()}
+    made = []
+    for i in range(180):
+        lang = rng.choice(["en", "de"])
+        words = [rng.choice(stock[lang]) + rng.choice(["", "", "x", "é", "|"]) for _ in range(rng.choice((0, 5, 19, 20, 40, 60, 90)))]
+        if rng.random() < 0.3:
+            words += words[: rng.randrange(30)]
+        text = "".join(w + rng.choice([" ", " ", "\n", "\t ", "\x0b", "\u00a0"]) for w in words)
+        made.append((i, rng.choice((text, text + "\n" + text.split("\n")[0])), lang))
+    made += [(500, None, "en"), (501, "", None), (None, made[5][1], "en"), (7, made[7][1], made[7][2]), (502, "of the " * 40_000, "en"), (503, " \n \n", "de"), (504, made[9][1], None), (505, "a|b " * 30, "xx")]
+    got = quality.quality(documents(spark, made), min_chars=60, min_words=15, min_reference_docs=10).collect()
+    assert len(got) == len(made)
+    sound = {}
+    for _, t, lang in made:
+        b = base(t)
+        if not b[5] and len(t or "") >= 60 and b[0] >= 15 and lang:
+            sound.setdefault(lang, []).append(t)
+    references = {}
+    for lang, texts in sound.items():
+        if len(texts) >= 10:
+            shares = [[round(10_000 * x / len(t) + 1e-9) for x in classes(t)] for t in texts]
+            references[lang] = (np.median(shares, axis=0), np.sum([bins(t)[0] for t in texts], axis=0), np.sum([bins(t)[1] for t in texts], axis=0))
+    assert set(references) == {"en", "de"}
+    want = []
+    for i, t, lang in made:
+        b, r, d = base(t), references.get(lang), [None] * 3
+        if r is not None:
+            d[0] = jensen_shannon(classes(t), r[0]) if len(t or "") >= 60 else None
+            d[1:] = [jensen_shannon(x, y) if b[0] >= 15 else None for x, y in zip(bins(t), r[1:], strict=True)]
+        kept = not b[5] and all((x or 0) <= y for x, y in zip(d, (0.18, 0.6, 0.25), strict=True))
+        want.append((i, *b, *(x if x is None else round(x, 3) for x in d), kept))
+    have = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, *(x if x is None else round(x, 3) for x in (r.class_distance, r.word_distance, r.language_distance)), r.kept) for r in got]
+    key = lambda t: tuple(str(x) for x in t)
+    assert sorted(have, key=key) == sorted(want, key=key)
+    assert quality.quality(documents(spark, made).limit(0)).count() == 0
+
+
+# secret scans
+
+ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+ACCESS, HEX, RUN = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+"), re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+
+
+def entropy(window):
+    return -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
+
+
+def is_random(s):
+    if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)) or any(re.search(a, s) for a in secrets.ALLOW):
+        return False
+    kind = "hex" if re.fullmatch("[0-9a-fA-F]+", s) else "alnum" if re.fullmatch("[A-Za-z0-9]+", s) else "base64"
+    return any(entropy(s[k : k + 20]) >= secrets.THRESHOLDS[kind] - 1e-6 for k in range(len(s) - 19))
+
+
+def plain_secrets(text):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    counts = [len(spans)]
+    for order, pattern, least in ((1, ACCESS, 18), (2, HEX, 16)):
+        more = [(m.start(), order, m.end()) for m in pattern.finditer(text) if len(m[0]) >= least]
+        counts.append(len(more))
+        spans += more
+    spans.sort()
+    listed = lambda x: ",".join(f"{secrets.KINDS[o]}:{a}:{b}" for a, o, b in x)
+    added = [(m.start(), 3, m.end()) for m in RUN.finditer(text) if is_random(m[0]) and not any(a <= m.start() and m.end() <= b for a, _, b in spans)]
+    return (*counts, hashlib.sha256(listed(spans).encode()).hexdigest(), listed(sorted(spans + added)))
+
+
+def test_secret_scans(spark):
+    rng = random.Random(3)
+    pieces = ["password=", "Token : '", "api_key=\"", "APIKEY:", "secret", "AKIA", "AKIAAKIA", "é", "😀", " ", "\n", "=", "'", "EXAMPLE", "sha256-", "0123456789abcdef", "the river"]
+    chars = {"hex": "0123456789abcdef", "hexes": "0123456789abcdefABCDEF", "alnum": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "base64": secrets.ALPHABET, "few": "ab1"}
+    made = [None, "", "a" * 200_000, "password=" * 200, "k9Xk2LmQ7vR4tZ8wB3nJ6y" * 40, "0" * 15, "0" * 16, "AKIA" + "B" * 13, "AKIA" + "B" * 14, "token=abcdefghijk", "token=abcdefghijkl"]
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randrange(1, 12)):
+            parts.append(rng.choice(pieces) if rng.random() < 0.5 else "".join(rng.choice(chars[rng.choice(list(chars))]) for _ in range(rng.choice((3, 11, 12, 15, 16, 19, 20, 21, 40)))))
+            if rng.random() < 0.4:
+                kind = chars[rng.choice(list(chars))]
+                parts.append("".join(rng.choice(kind) for _ in range(rng.choice((12, 16, 18, 20, 24, 60)))))
+        made.append("".join(parts))
+    table = documents(spark, [(i, t, "en") for i, t in enumerate(made)] + [(3, made[3], "en"), (None, made[20], None)])
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secrets.secrets(table).collect())
+    want = sorted([(i, *plain_secrets(t or "")) for i, t in enumerate(made)] + [(3, *plain_secrets(made[3])), (-1, *plain_secrets(made[20]))])
+    assert got == want
+    assert sum("entropy" in x[-1] for x in want) > 20 and sum(x[1] > 0 for x in want) > 20
+    redacted = {r.doc_id: r for r in secrets.redact(table).where("doc_id is not null").collect()}
+    for i, t in enumerate(made):
+        out, at = [], 0
+        for a, b in sorted((int(x.split(":")[1]), int(x.split(":")[2])) for x in plain_secrets(t or "")[-1].split(",") if x):
+            if a >= at:
+                out += [t[at:a], "[SECRET]"]
+            at = max(at, b)
+        assert redacted[i].text == (None if t is None else "".join(out) + t[at:])
+    assert secrets.secrets(table.limit(0)).count() == 0 and secrets.redact(table.limit(0)).columns == table.columns
+
+
+# URL filters
+
+
+def plain_rank(edges, seeds, damping, rounds=400):
+    hosts = sorted({h for a, b, _ in edges for h in (a, b)} | set(seeds))
+    at = {h: i for i, h in enumerate(hosts)}
+    step, out = np.zeros((len(hosts), len(hosts))), Counter()
+    for a, _, w in edges:
+        out[a] += w
+    for a, b, w in edges:
+        step[at[b], at[a]] += w / out[a]
+    p = np.zeros(len(hosts))
+    for h, w in seeds.items():
+        p[at[h]] = w
+    x, stuck = p.copy(), np.array([h not in out for h in hosts])
+    for _ in range(rounds if p.sum() else 0):
+        restart = (1 - damping) + damping * x[stuck].sum() / p.sum()
+        x = damping * step @ x + restart * p
+    return dict(zip(hosts, x, strict=True))
+
+
+def test_ranks_against_power_iteration(spark):
+    rng = random.Random(5)
+    hosts = [f"h{i}" for i in range(60)]
+    edges = Counter()
+    for _ in range(150):
+        a, b = rng.sample(hosts[:50], 2)
+        edges[a, b] += rng.choice((1.0, 2.0, 5.0))
+    edges |= {("hub", h): 1.0 for h in hosts[:40]}  # a hub, cycles, dangling hosts, and a chain
+    edges |= {(h, "hub"): 1.0 for h in hosts[5:15]} | {("h0", "h1"): 1.0, ("h1", "h0"): 2.0} | {(f"c{k}", f"c{k + 1}"): 1.0 for k in range(30)} | {("h3", "c0"): 1.0}
+    made = [(a, b, w) for (a, b), w in edges.items()]
+    seeds = {"h0": 1.0, "h3": 0.25, "h55": 0.5, "hub": 0.1}
+    table = spark.createDataFrame(made, "src string, dst string, weight double")
+    starts = spark.createDataFrame([*seeds.items(), (None, 1.0), ("h9", 0.0)], "host string, weight double")
+    got = {r.host: r.score for r in urls.personalised_rank(table, starts, 0.5, 1e-9).collect()}
+    want = plain_rank(made, seeds, 0.5)
+    assert {h: s for h, s in want.items() if s > 0}.keys() == got.keys() and "c30" in got
+    assert all(got[h] == pytest.approx(want[h], abs=1e-8) for h in got)
+    assert urls.personalised_rank(table, starts.limit(0)).count() == 0
+    alone = {r.host: (r.score, r.own) for r in urls.personalised_rank(table.limit(0), starts, 0.85).collect()}
+    assert alone == {h: (w, w) for h, w in seeds.items()}
+
+
+def plain_verdicts(pages, damping, threshold=0.5):
+    rules, parsed = dict((r, v) for v, r in urls.RULES), []
+    for i, url, html in pages:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].translate(str.maketrans(urls._UPPER, urls._LOWER)), m[2]) if m else ("", "")
+        fits = [r for r in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith("/" + r.split("/", 1)[1])]
+        rule = min(fits, key=lambda r: (-len(r), r)) if fits else None
+        parsed.append((i, host, path, rule, rules.get(rule), html))
+    share = {}
+    for _, host, _, _, told, _ in parsed:
+        if host:
+            share.setdefault(host, []).append(told)
+    good, bad = ({h: t.count(v) / len(t) for h, t in share.items() if v in t} for v in ("allow", "block"))
+    edges = Counter()
+    for _, host, _, _, _, html in parsed:
+        for to in {x.translate(str.maketrans(urls._UPPER, urls._LOWER)) for x in re.findall(r"(?i)\shref\s*=\s*[\"']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]*)", html or "")}:
+            if host and to and host != to:
+                edges[host, to] += 1.0
+    made = [(a, b, w) for (a, b), w in edges.items()]
+    trust, distrust = plain_rank(made, good, damping), plain_rank([(b, a, w) for a, b, w in made], bad, damping)
+
+    def own(rank, seeds, links, h):
+        out = {a for a, _, _ in links}
+        stuck = sum(x for y, x in rank.items() if y not in out)
+        return (1 - damping) + damping * stuck / sum(seeds.values()) if h in seeds else 0.0
+
+    back = [(b, a, w) for a, b, w in made]
+    out = {}
+    for i, host, path, rule, told, _ in parsed:
+        t, d = trust.get(host, 0.0), distrust.get(host, 0.0)
+        rest = (1 - good.get(host, 0) - bad.get(host, 0)) * max(own(trust, good, made, host), own(distrust, bad, back, host))
+        out[i] = (host, path, rule, told or ("block" if d > threshold * (t + d + rest) else "allow"))
+    return out
+
+
+def test_url_filters(spark):
+    rng = random.Random(9)
+    names = ["a.net", "m.b.net", "example.net", "w.example.net", "example.com", "x.example.com", "good.org", "b.org", *(f"n{k}.io" for k in range(14))]
+    paths = ["/", "/en/x", "/de/y?q=1", "/fr/z#t", "", "/DE/", "?u=http://a.net/de/"]
+    link = lambda: rng.choice(['<a href="http://{}/x">', "<a HREF = '//{}?a'>", "<a href=https://{}#t>", '<a data="http://{}/">', '<a href="/own/{}">']).format(rng.choice(names).upper() if rng.random() < 0.2 else rng.choice(names))
+    pages = [(i, f"http{rng.choice(['', 's'])}://{rng.choice(names)}{rng.choice(paths)}", " ".join(link() for _ in range(rng.randrange(4)))) for i in range(150)]
+    pages += [(1000 + k, "http://lone.example.com/" + ("de/p" if k == 0 else f"p{k}"), None) for k in range(20)]  # one page of twenty is blocked
+    pages += [(2000 + k, "http://most.example.com/" + ("de/p" if k < 11 else f"p{k}"), None) for k in range(20)]
+    pages += [(4000, "http://quiet.io/", '<a href="/own/">')]
+    pages += [(3000, None, "<a href=//a.net/>"), (3001, "no scheme", ""), (3002, "x://", None), (3003, "HTTP://GOOD.org/fr/é?x", None), (3004, "a://b://c/de/", "")]
+    table = spark.createDataFrame([(*p, "h", "r", 0.5) for p in pages] + [(None, None, None, None, None, None)], "page_id long, url string, html string, host string, rule string, trust double")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(table, damping=0.5, tolerance=1e-10).collect()}
+    want = plain_verdicts(pages, 0.5) | {None: ("", "", None, "allow")}
+    assert got == want
+    assert {got[1000 + k][3] for k in range(1, 20)} == {"allow"} and {got[2000 + k][3] for k in range(20)} == {"block"}
+    assert {v[3] for v in want.values() if v[2] is None and v[0].endswith(".io")} == {"allow", "block"}
+    assert urls.judge_urls(table.limit(0)).count() == 0
+    twice = urls.judge_urls(table.where("page_id < 40").union(table.where("page_id < 40")), damping=0.5).collect()
+    assert len(twice) == 80
+
+
+# packing
+
+
+def plain_best_fit(items, capacity):
+    """Each item into the fullest bin that takes it, of equally full ones the first; bins are read through."""
+    bins, out = [], []
+    for length, source, cluster in items:
+        fits = [(b["room"], k) for k, b in enumerate(bins) if b["room"] >= length and (source is None or source not in b["sources"]) and (cluster is None or cluster not in b["clusters"])]
+        if fits:
+            k = min(fits)[1]
+        else:
+            k = len(bins)
+            bins.append({"room": capacity, "sources": set(), "clusters": set(), "n": 0})
+        b = bins[k]
+        out.append((k, b["n"]))
+        b["room"] -= length
+        b["n"] += 1
+        b["sources"].add(source)
+        b["clusters"].add(cluster)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_best_fit(seed):
+    rng = random.Random(seed)
+    items = [(rng.choice((0, 1, 7, 20, 33, 50, 99, 100)), rng.choice((None, "a", "b", *range(seed * 4))), rng.choice((None, None, *range(30)))) for _ in range(400)]
+    items.sort(key=lambda x: -x[0])
+    assert packing.best_fit(items, 100) == plain_best_fit(items, 100)
+
+
+def test_packing(spark):
+    rng = random.Random(1)
+    made = [(rng.choice((None, *range(60))), rng.choice((None, "", "one two", "w" * rng.randrange(260), "é😀 " * rng.randrange(60), "Same  words", "same words")), rng.choice((None, "a", "b", "c", "d"))) for _ in range(200)]
+    table = spark.createDataFrame([(i, t, s, 7, 8, "x") for i, t, s in made], "doc_id long, text string, source string, bin_id long, slot int, `group` string")
+    got = packing.pack(table, capacity=100, group_rows=10**6, with_text=True).collect()
+    cluster = {r.cluster for r in got}
+    pieces = []
+    for r in got:
+        pieces.append((r.doc_id, r.piece, r.start, r.length, r.source, r.cluster, r.text))
+    order = sorted(pieces, key=lambda p: (-p[3], p[0] is None, p[0] or 0, p[1], p[4] or "", p[5] or 0, p[6] or ""))
+    placed = plain_best_fit([(p[3], p[4], p[5]) for p in order], 100)
+    have = sorted(((r.bin_id & 0xFFFFFFFF, r.slot, r.length, r.source, r.cluster) for r in got), key=str)
+    assert have == sorted(((b, s, p[3], p[4], p[5]) for (b, s), p in zip(placed, order, strict=True)), key=str)
+    words = {" ".join(WORD.findall((t or "").lower())) if t is not None else None for _, t, _ in made}
+    assert len(cluster) == len(words)
+    whole = Counter((i, t or "", s) for i, t, s in made)
+    cut = Counter()
+    for i, t, s in made:
+        for k in range(max(1, -(-len(t or "") // 100))):
+            cut[i, k, k * 100, (t or "")[k * 100 : k * 100 + 100], s] += 1
+    assert Counter((p[0], p[1], p[2], p[6] or "", p[4]) for p in pieces) == cut and sum(whole.values()) == 200
+    assert packing.pack(table.limit(0)).count() == 0
+    many = packing.pack(table, capacity=100, group_rows=16).collect()
+    for k, rows in {b: [r for r in many if r.bin_id == b] for b in {r.bin_id for r in many}}.items():
+        assert sum(r.length for r in rows) <= 100 and len({r.slot for r in rows}) == len(rows), k
+        assert all(len([getattr(r, c) for r in rows if getattr(r, c) is not None]) == len({getattr(r, c) for r in rows if getattr(r, c) is not None}) for c in ("source", "cluster"))
+
+
+def test_every_query_is_checked():
+    """Queries without SQL have a brute-force version here or in test_llm."""
+    assert {int(q[2:].split("_")[0]) for q in queries.QUERIES} == set(range(1, 11))
