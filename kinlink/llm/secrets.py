@@ -23,6 +23,8 @@ THRESHOLDS = {"hex": 3.0, "alnum": 3.6, "base64": 3.9}
 #: Candidates that match any of these are known not to be secrets.
 ALLOW = ("EXAMPLE", "(?i)0123456789|abcdefghij", "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "^sha(1|256|384|512)[-=]")
 _SCALE = 1 << 32
+#: Matches whose positions are summed in one go.
+BLOCK = 128
 
 
 def _quoted(s: str) -> str:
@@ -37,10 +39,14 @@ def _found(pattern: str, order: int, keep: str = "true", group: int = 0) -> Colu
     p = _quoted(pattern)
     none = "cast(array() as array<struct<start:int,ord:int,end:int,s:string>>)"
     zipped = f"arrays_zip(slice(split(text_, {p}, -1), 1, size(regexp_extract_all(text_, {p}, 0))) as p, regexp_extract_all(text_, {p}, 0) as m, regexp_extract_all(text_, {p}, {group}) as g)"
-    walked = f"""aggregate(transform({zipped}, x -> struct(x['0'] as p, x['1'] as m, x['2'] as g)), struct(0 as pos, {none} as out),
-        (a, x) -> struct(a.pos + length(x.p) + length(x.m) as pos,
-            concat(a.out, array(struct(a.pos + length(x.p) as start, {order} as ord, a.pos + length(x.p) + length(x.m) as end, x.g as s))) as out)).out"""
-    walked = walked.replace(" as p, regexp", ", regexp").replace(" as m, regexp", ", regexp").replace(" as g)", ")", 1)
+    zipped = zipped.replace(" as p, regexp", ", regexp").replace(" as m, regexp", ", regexp").replace(" as g)", ")", 1)
+    # an array that grows is copied at every step, so matches are walked in blocks, whose starts are summed first
+    length = "length(x['0']) + length(x['1'])"
+    starts = f"aggregate(transform(k, y -> aggregate(y, 0, (n, x) -> n + {length})), named_struct('pos', 0, 'out', cast(array() as array<int>)), (a, n) -> named_struct('pos', a.pos + n, 'out', concat(a.out, array(a.pos))), a -> a.out)"
+    span = f"named_struct('start', a.pos + length(x['0']), 'ord', {order}, 'end', a.pos + {length}, 's', x['2'])"
+    block = f"aggregate(y, named_struct('pos', n, 'out', {none}), (a, x) -> named_struct('pos', a.pos + {length}, 'out', concat(a.out, array({span}))), a -> a.out)"
+    blocks = f"transform(sequence(0, cast((size(z) - 1) div {BLOCK} as int)), b -> slice(z, b * {BLOCK} + 1, {BLOCK}))"
+    walked = f"transform(array({zipped}), z -> transform(array({blocks}), k -> flatten(zip_with(k, {starts}, (y, n) -> {block})))[0])[0]"
     return F.expr(f"case when text_ rlike {p} then filter({walked}, x -> {keep.format(s='x.s')}) else {none} end")
 
 
