@@ -20,7 +20,6 @@ class Config:
     k_base: int = 20
     max_seen: int = 90
     min_cycles: int = 3
-    batch_size: int = 10000
     null_name: str = "nullname"
     null_addr: str = "nulladdr"
     threshold_start: float = 0.50

@@ -19,6 +19,7 @@ def squeezed(c: Column) -> Column:
 def clean_name(raw: Column, normal: Column | None = None) -> Column:
     """The cleaned name, never empty; normal is a column of raw in normal form and lower case (lower(raw) suits ASCII)."""
     t = F.coalesce(normal if normal is not None else F.lower(raw), F.lit(""))
+    # What links, domains, brackets and leading marks look like.
     t = F.regexp_replace(t, rf"{S}*\|{S}*(?:https?://)?(?:www\.)?[^\s\p{{Z}}]+", " ")
     t = F.regexp_replace(t, r"https?://(?:www\.)?", "")
     t = F.regexp_replace(t, rf"(?<!{W})www\.", "")
@@ -38,6 +39,7 @@ def has_address(raw: Column) -> Column:
 def clean_address(raw: Column, normal: Column | None = None) -> Column:
     """The cleaned address; empty where has_address is false."""
     t = normal if normal is not None else F.lower(raw)
+    # What missing fields, number signs and runs of commas look like.
     t = F.regexp_replace(t, rf"{EDGE}(?:null|n/a|none|nan){EDGE}|<null>|<n/a>", "")
     t = F.regexp_replace(t, rf"#+{S}*", "")
     t = F.regexp_replace(t, rf"{S}*,{S}*", ", ")
@@ -46,12 +48,16 @@ def clean_address(raw: Column, normal: Column | None = None) -> Column:
     return F.when(has_address(raw), squeezed(t)).otherwise("")
 
 
-def trigrams(text: Column, sentinels: tuple[str, ...] = ("nullname", "nulladdr")) -> Column:
-    """Character trigrams with repeats; a shorter text is its own token; empty, null and sentinel texts have none."""
+def ngrams(text: Column, n: int = 3, sentinels: tuple[str, ...] = ("nullname", "nulladdr")) -> Column:
+    """Character n-grams with repeats; a shorter text is its own token; empty, null and sentinel texts have none."""
     t = F.coalesce(text, F.lit(""))
-    grams = F.transform(F.sequence(F.lit(1), F.length(t) - 2), lambda i: F.substring(t, i, F.lit(3)))
+    grams = F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, F.lit(n)))
     none = F.array().cast("array<string>")
-    return F.when((t == "") | F.lower(F.trim(t)).isin(*sentinels), none).when(F.length(t) < 3, F.array(t)).otherwise(grams)
+    return F.when((t == "") | F.lower(F.trim(t)).isin(*sentinels), none).when(F.length(t) < n, F.array(t)).otherwise(grams)
+
+
+def trigrams(text: Column) -> Column:
+    return ngrams(text)
 
 
 def tokens(text: Column) -> Column:

@@ -70,30 +70,48 @@ def transliterate(name: str, script: str, cross: bool) -> tuple[str, bool, bool]
     """(Latin form, handled, degenerate); other scripts pass through unhandled."""
     if not cross or script not in INDIC:
         return name, False, False
-    out = " ".join(normal_form(_latin(name, script)).split())
+    try:
+        out = " ".join(normal_form(_latin(name, script)).split())
+    except (TypeError, ValueError):
+        return name, False, True
     return (name, True, True) if not out else (out, True, not out.isascii())
 
 
+def _beyond_ascii(c: Column) -> Column:
+    return F.coalesce(c.rlike("[^\\x00-\\x7F]"), F.lit(False))
+
+
 def nfkc_lower(c: Column) -> Column:
+    """Normal form and lower case; null as empty. ASCII texts, which are in normal form, are lowered by the engine: Python gets nulls for them."""
+
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(normal_form)
+        return s.map(normal_form, na_action="ignore")
 
-    # The ASCII branch stays in the JVM, but a UDF inside a conditional is still evaluated for every row; it returns early there.
-    return run(c)
+    far = _beyond_ascii(c)
+    return F.when(far, run(F.when(far, c))).otherwise(F.lower(F.coalesce(c, F.lit(""))))
 
 
 def detect_script(c: Column) -> Column:
+    """(script, is_cross_script); ASCII texts are Latin without Python."""
+
     @F.pandas_udf("script string, is_cross_script boolean")
     def run(s: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([script_of(x) for x in s], columns=["script", "is_cross_script"])
 
-    return run(c)
+    far = _beyond_ascii(c)
+    latin = F.struct(F.lit("Latin").alias("script"), F.lit(False).alias("is_cross_script"))
+    return F.when(far, run(F.when(far, c))).otherwise(latin)
 
 
 def transliterated(name: Column, script: Column, cross: Column) -> Column:
+    """(name, handled, degenerate); rows that aren't cross-script pass without Python. What can't be read stays native, unhandled and degenerate."""
+
     @F.pandas_udf("name string, handled boolean, degenerate boolean")
     def run(n: pd.Series, s: pd.Series, x: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([transliterate(*r) for r in zip(n, s, x, strict=True)], columns=["name", "handled", "degenerate"])
+        return pd.DataFrame([transliterate(a, b, bool(c)) for a, b, c in zip(n, s, x, strict=True)], columns=["name", "handled", "degenerate"])
 
-    return run(name, script, cross)
+    some = F.coalesce(cross & script.isin(*INDIC), F.lit(False))
+    passed = F.struct(name.alias("name"), F.lit(False).alias("handled"), F.lit(False).alias("degenerate"))
+    only = lambda c: F.when(some, c)
+    return F.when(some, run(only(name), only(script), only(cross))).otherwise(passed)

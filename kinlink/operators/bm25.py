@@ -1,4 +1,4 @@
-"""BM25 over character trigrams: postings, statistics, self-scores and ranked search within blocks."""
+"""BM25 over character n-grams: postings, statistics, self-scores and ranked search within blocks."""
 
 from __future__ import annotations
 
@@ -7,34 +7,40 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from kinlink.config import Config
-from kinlink.functions.text import trigrams
+from kinlink.functions.text import ngrams
+
+
+HEAVY = 100_000
 
 
 @dataclass
 class Index:
-    """postings (block, tok, doc, tf, dl), idf (block, tok, idf) and stats (block, n, avgdl); blocks are open."""
+    """postings (block, tok, doc, tf, dl), idf (block, tok, idf, parts) and stats (block, n, avgdl); blocks are open.
+
+    A token's postings are searched in parts, of about HEAVY documents each, so that a frequent one is no single task's.
+    """
 
     postings: DataFrame
     idf: DataFrame
     stats: DataFrame
 
 
-def token_counts(rows: DataFrame, block: str, key: str, text: str) -> DataFrame:
-    """(block, doc, tok, tf, dl): one row for each distinct trigram of a row's text. Nothing is shuffled by document: counts are made in place."""
-    grams = rows.select(F.col(block).alias("block"), F.col(key).alias("doc"), trigrams(F.col(text)).alias("g"))
+def token_counts(rows: DataFrame, block: str, key: str, text: str, config: Config = Config()) -> DataFrame:
+    """(block, doc, tok, tf, dl): one row for each distinct n-gram of a row's text. Nothing is shuffled by document: counts are made in place."""
+    grams = rows.select(F.col(block).alias("block"), F.col(key).alias("doc"), ngrams(F.col(text), config.ngram).alias("g"))
     exploded = grams.select("block", "doc", F.size("g").cast("long").alias("dl"), F.explode("g").alias("tok"))
     return exploded.groupBy("block", "doc", "tok").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
 
 
 def build(rows: DataFrame, block: str, key: str, text: str, config: Config = Config()) -> Index:
     """The index of rows by block; empty texts count as documents. A negative idf becomes epsilon times the block's mean idf."""
-    postings = token_counts(rows, block, key, text)
-    lengths = rows.select(F.col(block).alias("block"), F.size(trigrams(F.col(text))).alias("dl"))
+    postings = token_counts(rows, block, key, text, config)
+    lengths = rows.select(F.col(block).alias("block"), F.size(ngrams(F.col(text), config.ngram)).alias("dl"))
     stats = lengths.groupBy("block").agg(F.count(F.lit(1)).alias("n"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
     df = postings.groupBy("block", "tok").agg(F.count(F.lit(1)).alias("df"))
-    raw = df.join(stats, "block").select("block", "tok", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
+    raw = df.join(stats, "block").select("block", "tok", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"), F.ceil(F.col("df") / HEAVY).cast("int").alias("parts"))
     mean = raw.groupBy("block").agg(F.avg("raw").alias("mean"))
-    idf = raw.join(mean, "block").select("block", "tok", F.when(F.col("raw") >= 0, F.col("raw")).otherwise(config.bm25_epsilon * F.col("mean")).alias("idf"))
+    idf = raw.join(mean, "block").select("block", "tok", F.when(F.col("raw") >= 0, F.col("raw")).otherwise(config.bm25_epsilon * F.col("mean")).alias("idf"), "parts")
     return Index(postings, idf, stats)
 
 
@@ -47,21 +53,21 @@ def weight(config: Config) -> Column:
 def search(queries: DataFrame, index: Index, block: str, key: str, text: str, k: int, config: Config = Config()) -> DataFrame:
     """(block, q, doc, score, rank): the k best documents of each query's block, scores above 0 only, ties by doc.
 
-    Postings are weighted once, then met by token; partial sums run before the pairs are shuffled, so a frequent token
-    costs its postings and no more.
+    A token costs its queries times its postings. Both sides know its parts: postings are dealt over them by document and
+    queries go to each; sums over a part's pairs run before the pairs are shuffled, and a query's ranks keep k rows only.
     """
     if k <= 0:
         raise ValueError(f"k must be positive, not {k}")
-    weighted = index.postings.join(index.idf, ["block", "tok"]).join(index.stats, "block").select("block", "tok", "doc", weight(config).alias("w"))
-    asked = token_counts(queries, block, key, text).select("block", "tok", F.col("doc").alias("q"), F.col("tf").alias("qtf"))
-    scored = asked.join(weighted, ["block", "tok"]).groupBy("block", "q", "doc").agg(F.round(F.sum(F.col("qtf") * F.col("w")), 6).alias("score"))
+    weighted = index.postings.join(index.idf, ["block", "tok"]).join(index.stats, "block").select("block", "tok", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "doc", weight(config).alias("w"))
+    asked = token_counts(queries, block, key, text, config).join(index.idf, ["block", "tok"]).select("block", "tok", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("doc").alias("q"), F.col("tf").alias("qtf"))
+    scored = asked.join(weighted, ["block", "tok", "part"]).groupBy("block", "q", "doc").agg(F.round(F.sum(F.col("qtf") * F.col("w")), 6).alias("score"))
     order = W.partitionBy("block", "q").orderBy(F.desc("score"), "doc")
     return scored.where("score > 0").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def self_scores(rows: DataFrame, index: Index, block: str, key: str, text: str, config: Config = Config()) -> DataFrame:
     """(block, doc, self_score): each row's score against itself, at least the floor; unknown tokens weigh nothing."""
-    own = token_counts(rows, block, key, text).join(index.idf, ["block", "tok"], "left").na.fill(0.0, ["idf"]).join(index.stats, "block")
+    own = token_counts(rows, block, key, text, config).join(index.idf, ["block", "tok"], "left").na.fill(0.0, ["idf"]).join(index.stats, "block")
     scored = own.groupBy("block", "doc").agg(F.sum(F.col("tf") * weight(config)).alias("s"))
     base = rows.select(F.col(block).alias("block"), F.col(key).alias("doc"))
     return base.join(scored, ["block", "doc"], "left").select("block", "doc", F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(config.self_score_floor)).alias("self_score"))

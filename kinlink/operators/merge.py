@@ -35,32 +35,43 @@ def unseen(hits: DataFrame, seen: DataFrame) -> DataFrame:
     return hits.join(seen.select("s1", "cand"), ["s1", "cand"], "left_anti")
 
 
+def candidate_union(hits: DataFrame, k: int) -> DataFrame:
+    """(s1, cand): the distinct candidates that any stream ranks k or better."""
+    return hits.where(F.col("rank") <= k).select("s1", "cand").distinct()
+
+
+def _drawn(streams: list[list], base: int, most: int) -> list[tuple]:
+    """(candidate, cycle) as they are drawn from ranked streams."""
+    seen: dict = {}
+    cycle = 0
+    while len(seen) < most:
+        cycle += 1
+        depth, drawn = base + len(seen), {}
+        for s in streams:
+            for cand in [c for c in s[:depth] if c not in seen][:base]:
+                drawn[cand] = cycle
+        if not drawn:
+            break
+        seen |= drawn
+    return list(seen.items())
+
+
 def cycles(hits: DataFrame, config: Config = Config()) -> DataFrame:
     """(s1, cand, cycle): when each candidate would be drawn; at most three streams of max_rank rows an entity, in one shuffle.
 
     In each cycle every stream gives its first k_base unseen among its top k_base + seen; drawing ends at max_seen.
-    Which candidates a cycle draws doesn't depend on verdicts, as accepted and rejected ones are both seen.
+    Which candidates a cycle draws doesn't depend on verdicts, as accepted and rejected ones are both seen. Entities are
+    arrays of their streams, handled in Arrow batches.
     """
-    base, most = config.k_base, config.max_seen
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        streams = [g.sort_values("rank")["cand"].tolist() for _, g in pdf.groupby("stream", sort=True)]
-        seen: dict[object, int] = {}
-        cycle = 0
-        while len(seen) < most:
-            cycle += 1
-            depth, drawn = base + len(seen), {}
-            for s in streams:
-                for cand in [c for c in s[:depth] if c not in seen][:base]:
-                    drawn[cand] = cycle
-            if not drawn:
-                break
-            seen |= drawn
-        return pd.DataFrame({"s1": pdf["s1"].iloc[0], "cand": list(seen), "cycle": list(seen.values())}).astype({"cycle": "int32"})
-
     types = dict(hits.dtypes)
-    top = hits.where(F.col("rank") <= config.max_rank).select("s1", "cand", "stream", "rank")
-    return top.groupBy("s1").applyInPandas(run, f"s1 {types['s1']}, cand {types['cand']}, cycle int")
+    pick = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("stream") == s, F.struct("rank", "cand")))), lambda x: x["cand"]).alias(s)
+    ranked = hits.where(F.col("rank") <= config.max_rank).groupBy("s1").agg(*(pick(s) for s in sorted(STREAMS)))
+
+    @F.pandas_udf(f"array<struct<cand:{types['cand']},cycle:int>>")
+    def run(*streams: pd.Series) -> pd.Series:
+        return pd.Series([[{"cand": c, "cycle": n} for c, n in _drawn([list(s) for s in row], config.k_base, config.max_seen)] for row in zip(*streams, strict=True)])
+
+    return ranked.select("s1", F.explode(run(*sorted(STREAMS))).alias("x")).select("s1", "x.cand", "x.cycle")
 
 
 def stop(scored: DataFrame, threshold: float, config: Config = Config()) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
@@ -30,14 +34,57 @@ def self_score(v: Column) -> Column:
     return F.when(v.isNull() | (dot(v, v) == 0), 1e-9).otherwise(1.0)
 
 
-def search(queries: DataFrame, corpus: DataFrame, block: str, key: str, vector: str, k: int) -> DataFrame:
+@dataclass
+class Index:
+    """rows (block, doc, vec): unit vectors; blocks are open."""
+
+    rows: DataFrame
+
+
+def _side(rows: DataFrame, block: str, key: str, vector: str) -> DataFrame:
+    return rows.where(F.col(vector).isNotNull()).select(F.col(block).alias("block"), F.col(key).alias("doc"), unit(F.col(vector)).alias("vec"))
+
+
+def build(rows: DataFrame, block: str, key: str, vector: str) -> Index:
+    """The index of all rows with a vector; zero vectors stay, at score 0."""
+    return Index(_side(rows, block, key, vector))
+
+
+def search(queries: DataFrame, corpus: DataFrame | Index, block: str, key: str, vector: str, k: int, tile: int = 4096) -> DataFrame:
     """(block, q, doc, score, rank): exact top k by inner product of unit vectors within a block, ties by doc.
 
-    Rows of a block meet by an equi-join on it; scores are held to -1..1. Null and zero queries have no hits.
+    Rows are dealt into tiles, and every tile of queries meets every tile of its block's corpus in a task of its own, as a
+    matrix product that leaves the k best of each query; so a large block is spread, and what is shuffled after is k rows a
+    query and tile. Scores are held to -1..1 and rounded to 6 places. Null and zero queries have no hits.
     """
     if k <= 0:
         raise ValueError(f"k must be positive, not {k}")
-    side = lambda rows, name, to: rows.where(F.col(vector).isNotNull()).select(F.col(block).alias("block"), F.col(key).alias(name), unit(F.col(vector)).alias(to))
-    asked = side(queries.where(dot(F.col(vector), F.col(vector)) > 0), "q", "a")
-    scored = asked.join(side(corpus, "doc", "b"), "block").select("block", "q", "doc", F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(F.col("a"), F.col("b")))), 6).alias("score"))
+    docs = corpus.rows if isinstance(corpus, Index) else build(corpus, block, key, vector).rows
+    asked = _side(queries.where(dot(F.col(vector), F.col(vector)) > 0), block, key, vector)
+    tiles = lambda rows, name: rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias(name))
+    sizes = tiles(docs, "d").join(tiles(asked, "q"), "block")
+    own = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = asked.join(sizes, "block").select("block", own("q").alias("x"), every("d").alias("y"), "doc", "vec")
+    right = docs.join(sizes, "block").select("block", every("q").alias("x"), own("d").alias("y"), "doc", "vec")
+    types = [dict(rows.dtypes)["doc"] for rows in (asked, docs)]
+
+    def best(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not (len(a) and len(b)):
+            return pa.table([pa.array([], f.type) for f in (a.schema.field("block"), a.schema.field("doc"), b.schema.field("doc"))] + [pa.array([], pa.float64())], names=["block", "q", "doc", "score"])
+        b = b.sort_by("doc")
+        matrix = lambda t: t.column("vec").combine_chunks().flatten().to_numpy().reshape(len(t), -1)
+        scores = np.floor(np.clip(matrix(a) @ matrix(b).T, -1, 1) * 1e6 + 0.5) / 1e6
+        least = np.partition(scores, -k, axis=1)[:, -k] if k < len(b) else np.full(len(a), -np.inf)
+        x, y = np.nonzero(scores >= least[:, None])
+        s = scores[x, y]
+        order = np.lexsort((y, -s, x))
+        x, y, s = x[order], y[order], s[order]
+        first = np.searchsorted(x, x)
+        keep = np.arange(len(x)) - first < k
+        x, y, s = x[keep], y[keep], s[keep]
+        return pa.table([a.column("block").take(pa.array(x)), a.column("doc").take(pa.array(x)), b.column("doc").take(pa.array(y)), pa.array(s)], names=["block", "q", "doc", "score"])
+
+    keys = ("block", "x", "y")
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, f"block {dict(asked.dtypes)['block']}, q {types[0]}, doc {types[1]}, score double")
     return scored.withColumn("rank", F.row_number().over(W.partitionBy("block", "q").orderBy(F.desc("score"), "doc"))).where(F.col("rank") <= k)

@@ -11,7 +11,7 @@ from kinlink.operators import bm25, features, merge, outputs, vector
 
 
 def hashed_vectors(rows: DataFrame, text: str, size: int = 64) -> DataFrame:
-    """rows with vec: signed counts of hashed trigrams; stands in for an encoder, which callers may give instead."""
+    """rows with vec: counts of hashed trigrams; stands in for an encoder, which callers may give instead."""
     from kinlink.functions.text import trigrams
 
     slots = F.transform(trigrams(F.col(text)), lambda g: F.pmod(F.xxhash64(g), F.lit(size)).cast("int"))
@@ -19,29 +19,38 @@ def hashed_vectors(rows: DataFrame, text: str, size: int = 64) -> DataFrame:
     return rows.withColumn("vec", vec)
 
 
-def retrieve(queries: DataFrame, targets: DataFrame, config: Config = Config(), encode: Callable[[DataFrame, str], DataFrame] = hashed_vectors) -> tuple[DataFrame, DataFrame]:
+def _kept(rows: DataFrame, work: str | None, name: str) -> DataFrame:
+    """rows written under work and read back, or persisted where there is no such folder: what several results share is made once."""
+    if work is None:
+        return rows.persist()
+    rows.write.mode("overwrite").parquet(f"{work}/{name}")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{work}/{name}")
+
+
+def retrieve(queries: DataFrame, targets: DataFrame, config: Config = Config(), encode: Callable[[DataFrame, str], DataFrame] = hashed_vectors, work: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(hits, self scores): the three streams to the deepest rank any cycle needs; rows are (id, country, name, addr)."""
     k, streams, selves = config.max_rank, [], []
     for stream in ("name", "addr"):
-        index = bm25.build(targets, "country", "id", stream, config)
+        made = bm25.build(targets, "country", "id", stream, config)
+        index = bm25.Index(*(_kept(getattr(made, t), work, f"{stream}_{t}") for t in made.__dataclass_fields__))
         streams.append(bm25.search(queries, index, "country", "id", stream, k, config).withColumn("stream", F.lit(stream)))
         selves.append(bm25.self_scores(queries, index, "country", "id", stream, config).select("block", "doc", F.col("self_score").alias(f"{stream}_self")))
     dense = vector.search(encode(queries, "name"), encode(targets, "name"), "country", "id", "vec", k)
     streams.append(dense.withColumn("stream", F.lit("vector")))
     hits = streams[0].unionByName(streams[1]).unionByName(streams[2]).select(F.col("q").alias("s1"), F.col("doc").alias("cand"), "stream", "rank", "score")
-    return hits, selves[0].join(selves[1], ["block", "doc"]).select(F.col("doc").alias("s1"), "name_self", "addr_self")
+    return _kept(hits, work, "hits"), selves[0].join(selves[1], ["block", "doc"]).select(F.col("doc").alias("s1"), "name_self", "addr_self")
 
 
-def candidates(queries: DataFrame, targets: DataFrame, config: Config = Config(), encode: Callable[[DataFrame, str], DataFrame] = hashed_vectors) -> DataFrame:
+def candidates(queries: DataFrame, targets: DataFrame, config: Config = Config(), encode: Callable[[DataFrame, str], DataFrame] = hashed_vectors, work: str | None = None) -> DataFrame:
     """(s1, cand, cycle, 26 features) of all pairs that any cycle draws."""
-    hits, selves = retrieve(queries, targets, config, encode)
+    hits, selves = retrieve(queries, targets, config, encode, work)
     pairs = merge.merge_streams(hits, config).join(merge.cycles(hits, config), ["s1", "cand"]).join(selves, "s1")
     side = lambda rows, key, s: encode(rows, "name").select(F.col("id").alias(key), F.col("name").alias(f"name_{s}"), F.col("addr").alias(f"addr_{s}"), vector.unit(F.col("vec")).alias(f"vec_{s}"), F.col("is_cross_script").cast("int").alias(f"cross_{s}"), *([F.col("source").alias("source_b")] if s == "b" else [F.col("country")]))
     return features.features(pairs.join(side(queries, "s1", "a"), "s1").join(side(targets, "cand", "b"), "cand"), config)
 
 
-def resolve(queries: DataFrame, targets: DataFrame, score: Callable[[DataFrame], DataFrame], threshold: float, config: Config = Config()) -> dict[str, DataFrame]:
-    """The three result tables; score adds prob to candidates."""
-    seen = merge.stop(score(candidates(queries, targets, config)), threshold, config)
+def resolve(queries: DataFrame, targets: DataFrame, score: Callable[[DataFrame], DataFrame], threshold: float, config: Config = Config(), work: str | None = None) -> dict[str, DataFrame]:
+    """The three result tables; score adds prob to candidates. What they share is made once, under work (a shared folder) or persisted."""
+    seen = _kept(merge.stop(score(candidates(queries, targets, config, work=work)), threshold, config), work, "seen")
     entities = queries.select(F.col("id").alias("s1"))
     return {"matching_results": outputs.matching_results(entities, seen), "candidate_pairs": outputs.candidate_pairs(entities, seen), "candidate_pairs_per_cycle": outputs.per_cycle_pairs(entities, seen)}
