@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from kinlink.config import Config
 from kinlink.functions import text, unicode
 from kinlink.functions.similarity import jaro_winkler_score, name_scores
-from kinlink.operators import bm25, features, merge, metrics, outputs, quality, validator, vector
+from kinlink.operators import blocking, bm25, features, merge, metrics, outputs, quality, validator, vector
 from kinlink.plans import prepare, resolve
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,10 +99,14 @@ def clean_address(s, d):
     return _parts(s, d).select("p_partkey", text.clean_address(F.col("address")).alias("cleaned"))
 
 
-@query("""select p_brand, p_type, count(*) as n, sum((p_size < 10)::int)::bigint as small_count, sum((p_size < 10)::int) / count(*) as small_rate, sum((p_retailprice > 1000)::int)::bigint as dear_count, sum((p_retailprice > 1000)::int) / count(*) as dear_rate
-from part group by grouping sets ((p_brand), (p_type))""")
+_ADDRESS = "case when p_size < 5 then ' N/A ' when p_size < 10 then '<null>' when p_size < 12 then '' else p_name end"
+
+
+@query(f"""with p as (select *, lower(trim({_ADDRESS})) as a from part), f as (select p_brand, p_type, (a not in ('', 'null', '<null>', 'n/a', '<n/a>', 'none', 'nan', 'undefined'))::int as told, (p_retailprice > 1000)::int as dear from p)
+select p_brand, p_type, count(*) as n, sum(told)::bigint as has_address_count, sum(told) / count(*) as has_address_rate, sum(dear)::bigint as dear_count, sum(dear) / count(*) as dear_rate
+from f group by grouping sets ((p_brand), (p_type))""")
 def has_address_rates(s, d):
-    return quality.flag_rates(_t(s, d, "part"), {"small": F.col("p_size") < 10, "dear": F.col("p_retailprice") > 1000}, ("p_brand", "p_type"))
+    return quality.flag_rates(_t(s, d, "part"), {"has_address": text.has_address(F.expr(_ADDRESS)), "dear": F.col("p_retailprice") > 1000}, ("p_brand", "p_type"))
 
 
 @query("""select p_partkey, case when length(p_name) < 3 then p_name else array_to_string(list_transform(range(1, length(p_name) - 1), lambda i: substr(p_name, i, 3)), '|') end as grams from part""")
@@ -194,9 +198,18 @@ def name_jaro_winkler(s, d):
     return spread.select("s1", "cand", F.round(jaro_winkler_score(F.col("a"), F.col("b")), 6).alias("jaro_winkler"))
 
 
-@query()
+@query(_COUPLES + """, t as (select s1, cand, string_split(x, ' ') as p, string_split(y, ' ') as q from k),
+i as (select *, array_to_string(list_transform(p, lambda w: w[1]), '') as ip, array_to_string(list_transform(q, lambda w: w[1]), '') as iq, array_to_string(p, '') as jp, array_to_string(q, '') as jq from t)
+select s1, cand, round((list_avg(list_transform(p, lambda v: list_max(list_transform(q, lambda w: jaro_winkler_similarity(v, w))))) + list_avg(list_transform(q, lambda w: list_max(list_transform(p, lambda v: jaro_winkler_similarity(v, w)))))) / 2, 6) as monge_elkan,
+round(case when greatest(len(p), len(q)) <= 1 then 0 when len(p) > len(q) then jaro_winkler_similarity(ip, jq) when len(q) > len(p) then jaro_winkler_similarity(iq, jp) else greatest(jaro_winkler_similarity(ip, jq), jaro_winkler_similarity(iq, jp)) end, 6) as acronym from i""")
 def name_acronym(s, d):
-    return _couples(s, d).select("s1", "cand", name_scores(F.col("x"), F.col("y")).alias("n")).select("s1", "cand", "n.monge_elkan", "n.acronym", "n.phonetic")
+    scores = _couples(s, d).select("s1", "cand", name_scores(F.col("x"), F.col("y")).alias("n"))
+    return scores.select("s1", "cand", F.round("n.monge_elkan", 6).alias("monge_elkan"), F.round("n.acronym", 6).alias("acronym"))
+
+
+@query()
+def name_phonetic(s, d):
+    return _couples(s, d).select("s1", "cand", name_scores(F.col("x"), F.col("y")).alias("n")).select("s1", "cand", "n.phonetic")
 
 
 @query(_COUPLES + " select s1, cand, round(least(length(a), length(b)) / greatest(length(a), length(b)), 6) as name_ratio, round(least(length(x), length(y)) / greatest(length(x), length(y)), 6) as addr_ratio, (x = '')::int as addr_missing from k")
@@ -217,7 +230,7 @@ def blacklist_anti_join(s, d):
 
 @query(f"with {_HITS} select distinct s1, cand from hits where rank <= 20")
 def candidate_union(s, d):
-    return _hits(s, d).where("rank <= 20").select("s1", "cand").distinct()
+    return merge.candidate_union(_hits(s, d), 20)
 
 
 _FBETA = "avg(case when tp + fn = 0 and fp = 0 then 1.0::double when tp = 0 then 0.0::double else 1.25::double * tp / (1.25::double * tp + 0.25::double * fn + fp) end)"
@@ -251,7 +264,7 @@ def precision_recall(s, d):
     return metrics.precision_recall(_pairs(s, d), 0.5).select(F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
 
 
-@query()
+@query("""select lang, case when regexp_matches(text, '[^\\P{L}\\p{Latin}]|\\p{M}') then 'another' else 'Latin' end as script, count(*) as n from documents group by all""")
 def script_histogram(s, d):
     rows = _t(s, d, "documents").select("lang", unicode.detect_script(F.col("text")).alias("s")).select("lang", "s.*")
     return quality.script_histogram(rows, "lang")
@@ -277,29 +290,52 @@ def cross_partition_leak(s, d):
     return quality.cross_partition_leak(_t(s, d, "documents"), "text", "source")
 
 
-def _results(s, d):
+# Lists keep what result files hold: ids that end in any digit, repeats, other sources' ids, empty ids, rows without a tab, repeated rows.
+def _result_rows(s, d):
     kind = F.when(F.col("event_type") == "purchase", "S2-").when(F.col("event_type") == "click", "S3-").when(F.col("event_type") == "view", "S1-").otherwise("X-")
-    e = _t(s, d, "events").select(F.concat(F.lit("S1-"), "user_id").alias("s1"), F.concat(kind, F.floor("value").cast("string")).alias("id"))
-    return e.groupBy("s1").agg(F.concat_ws(",", F.array_sort(F.collect_list("id"))).alias("ids"))
+    e = _t(s, d, "events").select(F.concat(F.lit("S1-"), "user_id").alias("s1"), F.concat(kind, F.floor("value").cast("string")).alias("id"), F.hour("ts").alias("hour"))
+    ids = F.concat_ws(",", F.array_sort(F.collect_list("id")))
+    return e, e.groupBy("s1").agg(F.when(F.max("hour") < 20, F.lit(None)).when(F.min("hour") > 2, F.concat(ids, F.lit(","))).otherwise(ids).alias("ids"), F.min("hour").alias("first"))
+
+
+def _results(s, d):
+    _, rows = _result_rows(s, d)
+    return rows.select("s1", "ids").unionByName(rows.where("first = 1").select("s1", "ids"))
 
 
-_RESULTS = """r as (select 'S1-' || user_id as s1, list(case event_type when 'purchase' then 'S2-' when 'click' then 'S3-' when 'view' then 'S1-' else 'X-' end || floor(value)::bigint) as l from events group by all),
-fl as (select s1, unnest(l) as id from r), need as (select 'S1-' || c_custkey as s1 from customer)"""
+def _candidates(s, d):
+    e, _ = _result_rows(s, d)
+    return e.where("hour < 18").groupBy("s1").agg(F.concat_ws(",", F.collect_set("id")).alias("ids"))
 
 
-@query(f"""with {_RESULTS}, f as (select 'duplicate_in_list' as rule, 'error' as severity, s1 as id from r where len(l) <> len(list_distinct(l))
-union all select 'self_match', 'error', s1 from fl where id like 'S1-%' union all select 'bad_prefix', 'error', s1 from fl where id not like 'S1-%' and id not like 'S2-%' and id not like 'S3-%'
+def _known(s, d):
+    e, _ = _result_rows(s, d)
+    return e.where("hour > 3 and id not like 'X-%'").select("id").distinct()
+
+
+_RESULTS = """e as (select 'S1-' || user_id as s1, case event_type when 'purchase' then 'S2-' when 'click' then 'S3-' when 'view' then 'S1-' else 'X-' end || floor(value)::bigint as id, hour(ts) as h from events),
+g as (select s1, list(id) as l, min(h) as a, max(h) as b from e group by s1),
+w as (select s1, case when a > 2 then list_append(l, '') else l end as l, a from g where b >= 20), r as (select s1, l from w union all select s1, l from w where a = 1),
+fl as (select distinct s1, unnest(l) as id from r), need as (select 'S1-' || c_custkey as s1 from customer),
+known as (select distinct id from e where h > 3 and id not like 'X-%'), pool as (select distinct s1, id from e where h < 18)"""
+
+
+@query(f"""with {_RESULTS}, f as (select 'row_without_tab' as rule, 'error' as severity, s1 as id from g where b < 20 union all select 'row_without_tab', 'error', s1 from g where b < 20 and a = 1
+union all select 'duplicate_s1', 'error', s1 from r group by s1 having count(*) > 1 union all select 'duplicate_in_list', 'error', s1 from r where len(l) <> len(list_distinct(l))
+union all select 'self_match', 'error', id from fl where id like 'S1-%' union all select 'bad_prefix', 'error', id from fl where id not like 'S1-%' and id not like 'S2-%' and id not like 'S3-%'
+union all select 'unknown_id', 'error', id from fl where (id like 'S2-%' or id like 'S3-%') and id not in (select id from known)
+union all select 'match_not_candidate', 'warning', s1 from fl where not exists (select 1 from pool where pool.s1 = fl.s1 and pool.id = fl.id)
 union all select 'missing_s1', 'error', s1 from need where s1 not in (select s1 from r) union all select 'unexpected_s1', 'error', s1 from r where s1 not in (select s1 from need))
-select rule, severity, count(*) as n, array_to_string(list_sort(list_distinct(list(id)))[1:5], ',') as examples from f group by rule, severity""")
+select rule, severity, count(distinct id) as n, array_to_string(list_sort(list_distinct(list(id)))[1:5], ',') as examples from f group by rule, severity""")
 def validator_findings(s, d):
-    return validator.findings(_results(s, d), _t(s, d, "customer").select(F.concat(F.lit("S1-"), "c_custkey").alias("s1")))
+    need = _t(s, d, "customer").select(F.concat(F.lit("S1-"), "c_custkey").alias("s1"))
+    return validator.findings(_results(s, d), need, _known(s, d), _candidates(s, d))
 
 
-@query(f"with {_FIRST} select a.s1, (select count(*) from f b where b.s1 = a.s1 and b.accepted and b.cand not in (select cand from u where u.s1 = a.s1 and u.cycle = 0)) as outside from (select distinct s1 from f) a")
+@query(f"with {_RESULTS} select 'match_not_candidate' as rule, count(distinct s1) as n from fl where not exists (select 1 from pool where pool.s1 = fl.s1 and pool.id = fl.id)")
 def subset_check(s, d):
-    pool = _seen(s, d).where("cycle = 0").groupBy("s1").agg(F.collect_set("cand").alias("pool"))
-    lists = _first(s, d).groupBy("s1").agg(F.collect_set(F.when(F.col("accepted"), F.col("cand"))).alias("m"))
-    return lists.join(pool, "s1", "left").select("s1", F.size(F.array_except("m", F.coalesce("pool", F.array().cast("array<long>")))).cast("long").alias("outside"))
+    rows = _results(s, d)
+    return validator.findings(rows, rows.select("s1"), None, _candidates(s, d)).where("rule = 'match_not_candidate'").select("rule", "n")
 
 
 _LIST = "coalesce(array_to_string(list_sort(list(cand::varchar) {}), ','), '')"
@@ -325,7 +361,15 @@ def seen_state(s, d):
     return outputs.seen_state(_seen(s, d)).select("s1", F.array_join("accepted", ",").alias("accepted"), F.array_join("rejected", ",").alias("rejected"), F.size("per_cycle").cast("long").alias("n_cycles"))
 
 
-@query()
+_DEPTH, _BASE, _MOST = Config().max_rank, Config().k_base, Config().max_seen
+
+
+@query(f"""with recursive {_HITS},
+streams as (select s1, coalesce(list(cand order by rank) filter (where stream = 'name'), []) as a, coalesce(list(cand order by rank) filter (where stream = 'addr'), []) as b, coalesce(list(cand order by rank) filter (where stream = 'vector'), []) as c from hits where rank <= {_DEPTH} group by s1),
+st as (select s1, 0 as cycle, []::bigint[] as seen, []::bigint[] as drawn from streams
+union all select s1, cycle + 1, list_concat(seen, new), new from (select st.s1, cycle, seen, list_distinct(list_concat(list_concat(list_filter(a[1:{_BASE} + len(seen)], lambda x: not list_contains(seen, x))[1:{_BASE}],
+list_filter(b[1:{_BASE} + len(seen)], lambda x: not list_contains(seen, x))[1:{_BASE}]), list_filter(c[1:{_BASE} + len(seen)], lambda x: not list_contains(seen, x))[1:{_BASE}])) as new from st join streams using (s1) where len(seen) < {_MOST}) where len(new) > 0)
+select s1, unnest(drawn) as cand, cycle from st""")
 def cycle_assignment(s, d):
     return merge.cycles(_hits(s, d))
 
@@ -347,6 +391,66 @@ def recall_at_k(s, d):
     return quality.recall_at(_hits(s, d), truth, (5, 20)).select(F.round("recall_5", 6).alias("recall_5"), F.round("recall_20", 6).alias("recall_20"))
 
 
+@query("""with p as (select p_partkey, list_reverse(list_transform(string_split(lower(p_type || ', ' || p_brand || ', ' || p_size || ', KY'), ','), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g')))) as w from part),
+c as (select p_partkey, list_filter(w, lambda x: regexp_matches(x, '[a-z]') and not regexp_matches(x, '^[a-z]{2}$') and x <> 'brand#11')[1] as city from p), s as (select s_suppkey, 'brand#' || (10 + s_nationkey) as city from supplier)
+select s_suppkey as q, p_partkey as doc from s join c using (city)""")
+def city_candidates(s, d):
+    parts = _t(s, d, "part").select(F.lit(1).alias("block"), F.col("p_partkey").alias("id"), F.concat_ws(", ", "p_type", "p_brand", "p_size", F.lit("KY")).alias("addr"))
+    places = _t(s, d, "supplier").select(F.lit(1).alias("block"), F.col("s_suppkey").alias("id"), F.concat(F.lit("x, Brand#"), F.col("s_nationkey") + 10, F.lit(",ky, 7")).alias("addr"))
+    return blocking.city_candidates(places, parts, "block", "id", "addr", ("Brand#11",)).select("q", "doc")
+
+
+@query("""with t as (select p_partkey as id, p_brand as block, string_split(lower(p_type || ' ' || p_name), ' ') as w from part), u as (select block, id, unnest(w) as tok from t),
+n as (select block, count(*) as n from t group by 1), df as (select block, tok, count(distinct id) as df from u group by all), tf as (select block, id, tok, count(*) as tf from u group by all),
+x as (select block, id, tok, tf * (ln((1 + n) / (1 + df)) + 1) as x from tf join df using (block, tok) join n using (block)), v as (select block, id, tok, x / sqrt(sum(x * x) over (partition by block, id)) as w from x),
+sc as (select a.block, a.id as q, b.id as doc, round(sum(a.w * b.w), 6) as score from v a join v b on a.block = b.block and a.tok = b.tok group by all)
+select *, (row_number() over (partition by block, q order by score desc, doc))::int as rank from sc qualify rank <= 5""")
+def tfidf_topk(s, d):
+    parts = _t(s, d, "part").select(F.col("p_brand").alias("block"), F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_type", "p_name").alias("t"))
+    return blocking.tfidf_candidates(parts, parts, "block", "id", "t", 5)
+
+
+@query()
+def minhash_candidates(s, d):
+    parts = _t(s, d, "part").select(F.col("p_brand").alias("block"), F.col("p_partkey").alias("id"), F.col("p_name").alias("t"))
+    return blocking.minhash_candidates(parts, parts, "block", "id", "t")
+
+
+@query("with t as (select user_id as s1, floor(value)::bigint as cand from events where event_type = 'purchase'), n as (select s1, count(distinct cand) as k from t group by s1), u as (select distinct user_id as s1 from events) select coalesce(k, 0)::bigint as n_matches, count(*) as n from u left join n using (s1) group by 1")
+def cardinality_histogram(s, d):
+    return quality.cardinality_histogram(_users(s, d), _seen(s, d).where("accepted").select("s1", "cand"))
+
+
+@query(f"with {_CS}, h as (select distinct s.id as s1, c.id as cand from s join c using (country) where right(s.name, 1) = right(c.name, 1)), t as (select sum(q * t) as pairs from (select country, count(*) as q from s group by 1) join (select country, count(*) as t from c group by 1) using (country)) select round(1 - (select count(*) from h) / (select pairs from t), 6) as ratio")
+def reduction_ratio(s, d):
+    p, c = _suppliers(s, d), _customers(s, d)
+    hits = p.select(F.col("id").alias("s1"), "country", F.right("name", F.lit(1)).alias("z")).join(c.select(F.col("id").alias("cand"), "country", F.right("name", F.lit(1)).alias("z")), ["country", "z"])
+    return quality.reduction_ratio(hits, p, c, "country").select(F.round("ratio", 6).alias("ratio"))
+
+
+@query("with e as (select user_id, event_id, value, event_type from events qualify row_number() over (partition by event_type order by event_id) <= 25) select * from e")
+def head_sample(s, d):
+    return quality.head_sample(_t(s, d, "events").select("user_id", "event_id", "value", "event_type"), "event_type", "event_id")
+
+
+@query("with n as (select event_type, greatest(1, count(*) // 500) as step from events group by 1), r as (select event_type, event_id, row_number() over (partition by event_type order by event_id) - 1 as place from events) select event_type, event_id from r join n using (event_type) where place % step = 0")
+def systematic_sample(s, d):
+    return quality.systematic_sample(_t(s, d, "events").select("event_type", "event_id"), "event_type", "event_id")
+
+
+@query("select count(*) as n, sum((trim(text) = '' or text is null)::int)::bigint as blank, sum(coalesce(contains(text, chr(65533)), false)::int)::bigint as replaced from documents")
+def text_faults(s, d):
+    flag = lambda c: F.sum(c.cast("long"))
+    return _t(s, d, "documents").agg(F.count(F.lit(1)).alias("n"), flag(quality.blank(F.col("text"))).alias("blank"), flag(quality.has_replacement(F.col("text"))).alias("replaced"))
+
+
+@query("with e as (select user_id as s1, floor(value)::bigint as cand, event_type, event_id from events), st as (select s1, cand from e where event_type in ('purchase', 'click') group by all), p as (select distinct s1, cand from e) select p.s1, p.cand, st.s1 is not null as seen from p left join st using (s1, cand)")
+def has_been_seen(s, d):
+    e = _seen(s, d).join(_t(s, d, "events").select(F.col("event_id").alias("seq"), "event_type"), "seq")
+    state = outputs.seen_state(e.where("event_type in ('purchase', 'click')"))
+    return outputs.has_been_seen(state, e.select("s1", "cand").distinct())
+
+
 @query()
 def translit(s, d):
     names = _t(s, d, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("name"))
@@ -354,10 +458,32 @@ def translit(s, d):
     return tagged.select("conv_id", "turn", "s.*", unicode.transliterated(F.col("name"), F.col("s.script"), F.col("s.is_cross_script")).alias("t")).select("conv_id", "turn", "script", "is_cross_script", "t.*")
 
 
-@query()
+def _processed_sql(rows: str) -> str:
+    """SQL that cleans ASCII rows (entity_id, raw_name, raw_addr)."""
+    links = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(raw_name), '\\s*\\|\\s*(https?://)?(www\\.)?\\S+', ' ', 'g'), 'https?://(www\\.)?', '', 'g'), '\\bwww\\.', '', 'g'), '\\.(com|org|net|in|co|io)\\b', '', 'g')"
+    return f"""with p as ({rows}), t as (select *, list_filter(string_split_regex(regexp_replace(regexp_replace({links}, '[\\[\\](){{}}<>]', ' ', 'g'), '^[^\\w]+', ''), '\\s+'), lambda w: w <> '') as w from p),
+m as (select *, coalesce(nullif(array_to_string(list_filter(w, lambda v, i: i = 1 or v <> w[i - 1]), ' '), ''), nullif(trim(raw_name), ''), 'unknown') as name, lower(trim(raw_addr)) not in ('', 'null', '<null>', 'n/a', '<n/a>', 'none', 'nan', 'undefined') as has,
+regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(raw_addr), '\\b(null|n/a|none|nan)\\b|<null>|<n/a>', '', 'g'), '#+\\s*', '', 'g'), '\\s*,\\s*', ', ', 'g'), '(,\\s*)+,', ',', 'g') as c from t)
+select entity_id, 'S2' as source, 'any' as country, raw_name as name_original, raw_addr as addr_original, false as is_cross_script, 'Latin' as script, has as has_address, name as name_for_faiss, name as name_for_bm25,
+case when has then trim(regexp_replace(regexp_replace(c, '^[, ]+|[, ]+$', '', 'g'), '\\s+', ' ', 'g')) else '' end as addr_for_bm25, 'Target' as role, false as handled, false as degenerate from m"""
+
+
+def _raw(rows, entity, name, addr):
+    return rows.select(F.concat(F.lit("S2-"), entity).alias("entity_id"), name.alias("business_name"), addr.alias("business_address"), F.lit("any").alias("country"), F.lit("Target").alias("role"), F.lit("S2").alias("expected"))
+
+
+@query(_processed_sql("""select 'S2-' || l_orderkey || '/' || l_linenumber as entity_id, '<< ' || upper(p_name) || ' [' || p_brand || '] [' || p_brand || '] | www.' || p_partkey || '.com' as raw_name,
+'##' || l_linenumber || ' ' || l_returnflag || ' ,, ' || (case when l_discount < 0.02 then 'NULL' else p_type end) || ' , ' || p_brand as raw_addr from lineitem join part on l_partkey = p_partkey"""))
+def processed_items(s, d):
+    rows = _t(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_discount", "l_partkey").join(_t(s, d, "part").select("p_partkey", "p_name", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    name = F.concat(F.lit("<< "), F.upper("p_name"), F.lit(" ["), "p_brand", F.lit("] ["), "p_brand", F.lit("] | www."), "p_partkey", F.lit(".com"))
+    addr = F.concat(F.lit("##"), "l_linenumber", F.lit(" "), "l_returnflag", F.lit(" ,, "), F.when(F.col("l_discount") < 0.02, "NULL").otherwise(F.col("p_type")), F.lit(" , "), "p_brand")
+    return prepare.process(_raw(rows, F.concat_ws("/", "l_orderkey", "l_linenumber"), name, addr))
+
+
+@query(_processed_sql("select 'S2-' || page_id as entity_id, url as raw_name, array_to_string(string_split(url, '/')[-2:], '/') as raw_addr from pages"))
 def processed_records(s, d):
-    raw = _t(s, d, "pages").select(F.concat(F.lit("S2-"), "page_id").alias("entity_id"), F.col("url").alias("business_name"), F.substring_index("url", "/", -2).alias("business_address"), F.lit("any").alias("country"), F.lit("Target").alias("role"), F.lit("S2").alias("expected"))
-    return prepare.process(raw)
+    return prepare.process(_raw(_t(s, d, "pages"), F.col("page_id").cast("string"), F.col("url"), F.substring_index("url", "/", -2)))
 
 
 @query()
