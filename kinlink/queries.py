@@ -294,13 +294,13 @@ def cross_partition_leak(s, d):
 def _result_rows(s, d):
     kind = F.when(F.col("event_type") == "purchase", "S2-").when(F.col("event_type") == "click", "S3-").when(F.col("event_type") == "view", "S1-").otherwise("X-")
     e = _t(s, d, "events").select(F.concat(F.lit("S1-"), "user_id").alias("s1"), F.concat(kind, F.floor("value").cast("string")).alias("id"), F.hour("ts").alias("hour"))
-    ids = F.concat_ws(",", F.array_sort(F.collect_list("id")))
-    return e, e.groupBy("s1").agg(F.when(F.max("hour") < 20, F.lit(None)).when(F.min("hour") > 2, F.concat(ids, F.lit(","))).otherwise(ids).alias("ids"), F.min("hour").alias("first"))
+    ids, early = F.concat_ws(",", F.array_sort(F.collect_list("id"))), F.count(F.when(F.col("hour") < 12, 1))
+    return e, e.groupBy("s1").agg(F.when(5 * early < 2 * F.count(F.lit(1)), F.lit(None)).when(2 * early > F.count(F.lit(1)), F.concat(ids, F.lit(","))).otherwise(ids).alias("ids"), (5 * early > 3 * F.count(F.lit(1))).alias("twice"))
 
 
 def _results(s, d):
     _, rows = _result_rows(s, d)
-    return rows.select("s1", "ids").unionByName(rows.where("first = 1").select("s1", "ids"))
+    return rows.select("s1", "ids").unionByName(rows.where("twice").select("s1", "ids"))
 
 
 def _candidates(s, d):
@@ -314,13 +314,13 @@ def _known(s, d):
 
 
 _RESULTS = """e as (select 'S1-' || user_id as s1, case event_type when 'purchase' then 'S2-' when 'click' then 'S3-' when 'view' then 'S1-' else 'X-' end || floor(value)::bigint as id, hour(ts) as h from events),
-g as (select s1, list(id) as l, min(h) as a, max(h) as b from e group by s1),
-w as (select s1, case when a > 2 then list_append(l, '') else l end as l, a from g where b >= 20), r as (select s1, l from w union all select s1, l from w where a = 1),
-fl as (select distinct s1, unnest(l) as id from r), need as (select 'S1-' || c_custkey as s1 from customer),
+g as (select s1, list(id) as l, count(*) as n, sum((h < 12)::int) as a from e group by s1),
+w as (select s1, case when 2 * a > n then list_append(l, '') else l end as l, 5 * a > 3 * n as twice from g where 5 * a >= 2 * n), r as (select s1, l from w union all select s1, l from w where twice),
+fl as (select distinct s1, unnest(l) as id from r), need as (select 'S1-' || c_custkey as s1 from customer where c_acctbal > 0),
 known as (select distinct id from e where h > 3 and id not like 'X-%'), pool as (select distinct s1, id from e where h < 18)"""
 
 
-@query(f"""with {_RESULTS}, f as (select 'row_without_tab' as rule, 'error' as severity, s1 as id from g where b < 20 union all select 'row_without_tab', 'error', s1 from g where b < 20 and a = 1
+@query(f"""with {_RESULTS}, f as (select 'row_without_tab' as rule, 'error' as severity, s1 as id from g where 5 * a < 2 * n
 union all select 'duplicate_s1', 'error', s1 from r group by s1 having count(*) > 1 union all select 'duplicate_in_list', 'error', s1 from r where len(l) <> len(list_distinct(l))
 union all select 'self_match', 'error', id from fl where id like 'S1-%' union all select 'bad_prefix', 'error', id from fl where id not like 'S1-%' and id not like 'S2-%' and id not like 'S3-%'
 union all select 'unknown_id', 'error', id from fl where (id like 'S2-%' or id like 'S3-%') and id not in (select id from known)
@@ -328,7 +328,7 @@ union all select 'match_not_candidate', 'warning', s1 from fl where not exists (
 union all select 'missing_s1', 'error', s1 from need where s1 not in (select s1 from r) union all select 'unexpected_s1', 'error', s1 from r where s1 not in (select s1 from need))
 select rule, severity, count(distinct id) as n, array_to_string(list_sort(list_distinct(list(id)))[1:5], ',') as examples from f group by rule, severity""")
 def validator_findings(s, d):
-    need = _t(s, d, "customer").select(F.concat(F.lit("S1-"), "c_custkey").alias("s1"))
+    need = _t(s, d, "customer").where("c_acctbal > 0").select(F.concat(F.lit("S1-"), "c_custkey").alias("s1"))
     return validator.findings(_results(s, d), need, _known(s, d), _candidates(s, d))
 
 
