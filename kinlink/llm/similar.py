@@ -17,10 +17,12 @@ from kinlink.llm.text import ODD, binaries, flat, rows_of, slices, spaced, split
 SAMPLE, HEAVY = 8000, 16
 #: Shingles of a document are counted in so many bins; the counts bound how many shingles two documents share.
 BINS = 256
-#: Bins of the small sketch, and nodes of a token compared at a time.
-SMALL, TILE = 64, 512
-#: Bytes of text whose tokens a bucket is meant to look after.
-BUCKET = 32 << 20
+#: Bins that are compared first, and nodes of a token compared at a time.
+COARSE, TILE = 64, 512
+#: Least hashes by which similar documents are put side by side.
+SIGNS = 3
+#: Shingles of documents, about a fifth of which are tokens, that a bucket is meant to look after.
+BUCKET = 1 << 22
 GROUP = "near_group"
 
 
@@ -82,8 +84,9 @@ def _nodes(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _packed(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
-    """The tokens of a batch's distinct nodes, one row a bucket: five bytes of the token, and its node, size and sign, as binaries."""
-    node, n, sign, prefix = batch.column("node").to_numpy(), batch.column("n").to_numpy(), batch.column("sign").to_numpy(), batch.column("prefix")
+    """The tokens of a batch's distinct nodes, one row a bucket: five bytes of the token, and its node, size and signs, as binaries."""
+    node, n, prefix = batch.column("node").to_numpy(), batch.column("n").to_numpy(), batch.column("prefix")
+    signs = np.frombuffer(b"".join(batch.column("signs").to_pylist()), "<u2").reshape(-1, SIGNS)
     at = prefix.offsets.to_numpy().astype(np.int64)
     token = prefix.flatten().to_numpy().view(np.uint64)
     _, once = np.unique(node, return_index=True)
@@ -97,35 +100,36 @@ def _packed(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     bucket, token, row = bucket[order], token[order], row[order]
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
     short = np.ascontiguousarray((token >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-    made = [pa.array(bucket[edges[:-1]], pa.int64()), binaries(short, 5 * edges), binaries(node[row], 8 * edges), binaries(n[row].astype(np.int32), 4 * edges), binaries(sign[row].astype(np.int32), 4 * edges)]
-    return pa.RecordBatch.from_arrays(made, names=["bucket", "token", "node", "n", "sign"])
+    made = [pa.array(bucket[edges[:-1]], pa.int64()), binaries(short, 5 * edges), binaries(node[row], 8 * edges), binaries(n[row].astype(np.int32), 4 * edges), binaries(np.ascontiguousarray(signs[row]), 2 * SIGNS * edges)]
+    return pa.RecordBatch.from_arrays(made, names=["bucket", "token", "node", "n", "signs"])
 
 
 def _met(table: pa.Table, threshold: float) -> pa.Table:
     """A bucket's tokens that several nodes have, (token, node, n); and, with a null token, (node, other): neighbours at a token, whose sizes allow the threshold.
 
-    Nodes of a token stand side by side by size, by sign (a least hash, which similar sets mostly have in common) and by
-    chance, so pairs are as many as tokens, however many nodes have one. Tokens that five bytes don't tell apart are one,
-    which gives candidates for nothing, but loses none.
+    Nodes of a token stand side by side by each of their signs (least hashes, each of which two sets have in common as
+    often as they are similar) and size, and neighbours of one sign are paired: pairs are as many as tokens, however many
+    nodes have one. Tokens that five bytes don't tell apart are one, which gives candidates for nothing, but loses none.
     """
-    short, node, n, sign = (flat(table.column(c), t)[0] for c, t in (("token", "u1"), ("node", "<i8"), ("n", "<i4"), ("sign", "<i4")))
+    short, node, n, signs = (flat(table.column(c), t)[0] for c, t in (("token", "u1"), ("node", "<i8"), ("n", "<i4"), ("signs", "<u2")))
+    signs = signs.reshape(-1, SIGNS)
     wide = np.zeros((len(node), 8), np.uint8)
     wide[:, :5] = short.reshape(-1, 5)
     home = table.column("bucket")[0].as_py() if len(table) else 0
     token = wide.view("<i8").ravel() | np.int64((home << 40) & ((1 << 63) - 1))
     order = np.lexsort((node, token))
-    token, node, n, sign = token[order], node[order], n[order], sign[order]
+    token, node, n, signs = token[order], node[order], n[order], signs[order]
     fresh = np.ones(len(token), bool)
     fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-    token, node, n, sign = token[fresh], node[fresh], n[fresh], sign[fresh]
+    token, node, n, signs = token[fresh], node[fresh], n[fresh], signs[fresh]
     same = token[1:] == token[:-1]
     met = (np.concatenate([same, [False]]) | np.concatenate([[False], same]))[: len(token)]
-    token, node, n, sign = token[met], node[met], n[met], sign[met]
+    token, node, n, signs = token[met], node[met], n[met], signs[met]
     pairs = [np.zeros((0, 2), np.int64)]
-    for keys in ((n, token), (n, sign, token), (_mixed((token ^ node).view(np.uint64)), token)):
-        order = np.lexsort(keys)
-        t, x, size = token[order], node[order], n[order]
-        at = np.flatnonzero(t[1:] == t[:-1])
+    for k in range(SIGNS):
+        order = np.lexsort((n, signs[:, k], token))
+        t, x, size, sign = token[order], node[order], n[order], signs[order, k]
+        at = np.flatnonzero((t[1:] == t[:-1]) & (sign[1:] == sign[:-1]))
         at = at[_fit(size[at], size[at + 1], threshold)]
         pairs.append(np.stack([x[at], x[at + 1]], 1))
     pairs = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
@@ -150,19 +154,20 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _others(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): nodes of different components with a token in common whose sizes and small sketches leave the threshold possible.
+def _others(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
+    """(a, b): nodes of different components with a token in common whose sizes and sketches leave the threshold possible.
 
     A token's nodes are compared where they lie, those of its largest component only with the others, and what cannot be
-    is not given out.
+    is not given out. nearest: of each node's pairs at a token only the one with the closest sketch is.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
             token, node, n, component = (table.column(c).to_numpy() for c in ("token", "node", "n", "component"))
-            small = flat(table.column("small"), "u1")[0].reshape(-1, SMALL)
+            sketch = flat(table.column("sketch"), "u1")[0].reshape(-1, BINS)
             order = np.lexsort((n, component, token))
-            token, node, n, component, small = token[order], node[order], n[order].astype(np.int64), component[order], small[order]
+            token, node, n, component, sketch = token[order], node[order], n[order].astype(np.int64), component[order], sketch[order]
+            coarse = sketch.reshape(len(sketch), COARSE, -1).sum(2, dtype=np.int16)
             edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
             found = [np.zeros((0, 2), np.int64)]
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -172,37 +177,52 @@ def _others(rows: DataFrame, threshold: float) -> DataFrame:
                 top = int(count.argmax())
                 rest = np.concatenate([np.arange(a, a + first[top]), np.arange(a + first[top] + count[top], b)])
                 for i in range(0, len(rest), TILE):
-                    left = rest[i : i + TILE]
+                    left, best = rest[i : i + TILE], np.zeros((0, 3), np.int64)
                     for j in range(a, b, TILE):
                         right = np.arange(j, min(b, j + TILE))
                         x, y = np.nonzero((component[left][:, None] != component[right]) & _fit(n[left][:, None], n[right], threshold))
                         x, y = left[x], right[y]
-                        ok = _possible(small[x], small[y], n[x], n[y], threshold)
+                        differ = _apart(coarse[x], coarse[y])
+                        ok = _possible(differ, n[x], n[y], threshold)
+                        x, y, differ = x[ok], y[ok], differ[ok]
+                        if nearest and len(x):
+                            best = np.concatenate([best, np.stack([x, differ, y], 1)])
+                            best = best[np.lexsort((best[:, 2], best[:, 1], best[:, 0]))]
+                            best = best[np.concatenate([[True], best[1:, 0] != best[:-1, 0]])]
+                            continue
+                        ok = _possible(_apart(sketch[x], sketch[y]), n[x], n[y], threshold)
                         found.append(np.stack([node[x[ok]], node[y[ok]]], 1))
+                    x, y = best[:, 0], best[:, 2]
+                    ok = _possible(_apart(sketch[x], sketch[y]), n[x], n[y], threshold)
+                    found.append(np.stack([node[x[ok]], node[y[ok]]], 1))
             pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long").distinct()
 
 
-def _possible(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether sketches leave the threshold possible: sets differ at least by the sum of what their bins differ by."""
-    differ = np.abs(left.astype(np.int16) - right.astype(np.int16)).sum(1, dtype=np.int64)
-    return differ * (1 + threshold) <= (1 - threshold) * (n.astype(np.int64) + m) + 1e-6
-
-
 def _fit(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     """Whether sets of these sizes can have the Jaccard."""
     return np.minimum(x, y) >= threshold * np.maximum(x, y) - 1e-9
 
 
+def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The sum of what the bins of sketches differ by: sets differ at least by that."""
+    return np.abs(left.astype(np.int16) - right.astype(np.int16)).sum(1, dtype=np.int64)
+
+
+def _possible(differ: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets of n and m that differ by so much or more can have the Jaccard."""
+    return differ * (1 + threshold) <= (1 - threshold) * (n.astype(np.int64) + m) + 1e-6
+
+
 def _bounded(pairs: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose sketches leave the threshold possible."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sketch_a", "sketch_b"))
-            ok = pa.array(_possible(left, right, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), threshold))
+            ok = pa.array(_possible(_apart(left, right), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), threshold))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -231,15 +251,14 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     Words are ASCII-lowered; a text of fewer words is one shingle; null texts and texts without words are one group;
     repeated rows share one; an empty table gives no rows. No pair is missed: sets that similar share one of their first
     n - ceil(threshold n) + 1 shingles in any one order of all shingles. Sets that share one are candidates; neighbours
-    among them are held against each other first, then those that are not of one component yet, where counts in bins
-    cannot rule them out. What is left is compared by whole sets of 64-bit hashes. Tokens are dealt in buckets, as arrays.
+    among them are held against each other first, then the closest, and then all that are not of one component yet, where
+    counts in bins cannot rule them out. What is left is compared by whole sets of 64-bit hashes. Tokens are dealt in buckets, as arrays.
     """
     text = F.col(text_col).cast("string")
     kept = docs.select(F.struct(*(keep or docs.columns)).alias("row"), text.alias("text"), F.xxhash64(text).alias("mark"))
     texts = kept.select("text", "mark")
     none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    total, count = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
-    buckets = (total or 0) // BUCKET + 1
+    count = docs.count()
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):
@@ -250,7 +269,7 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     heavy, weight = np.array([r["token"] for r in common], np.int64).view(np.uint64), np.array([r["count"] for r in common], np.int64)
     by_hash = np.argsort(heavy)
     heavy, weight = heavy[by_hash], weight[by_hash]
-    names = ["row", "mark", "node", "n", "sign", "sketch", "small", "prefix"]
+    names = ["row", "mark", "node", "n", "signs", "sketch", "prefix"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):
@@ -259,12 +278,12 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
             prefix = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
             early = np.arange(len(hashes)) - at[:-1][row] < prefix[row]
             bins = np.bincount(row * BINS + (hashes >> np.uint64(56)).astype(np.int64), minlength=len(n) * BINS)
-            packed = lambda counts, width: binaries(np.minimum(counts, 255).astype(np.uint8), width * np.arange(len(n) + 1))
-            sketches = packed(bins, BINS), packed(bins.reshape(-1, BINS // SMALL).sum(1), SMALL)
-            sign = np.zeros(len(n), np.uint64)
-            sign[n > 0] = np.minimum.reduceat(_mixed(hashes ^ np.uint64(ODD)), at[:-1][n > 0]) if len(hashes) else 0
-            sign = (sign >> np.uint64(33)).astype(np.int32)
-            columns = [batch.column("row"), batch.column("mark"), pa.array(_nodes(hashes, at)), pa.array(n.astype(np.int32)), pa.array(sign), *sketches, _lists(hashes[early], np.concatenate([[0], np.cumsum(prefix)]))]
+            sketch = binaries(np.minimum(bins, 255).astype(np.uint8), BINS * np.arange(len(n) + 1))
+            signs = np.zeros((len(n), SIGNS), "<u2")
+            for k in range(SIGNS if len(hashes) else 0):  # hashes are mixed: odd factors put them in other orders
+                least = np.minimum.reduceat((hashes ^ (hashes >> np.uint64(32))) * np.uint64(ODD + 2 * k), at[:-1][n > 0])
+                signs[n > 0, k] = _mixed(least) >> np.uint64(48)
+            columns = [batch.column("row"), batch.column("mark"), pa.array(_nodes(hashes, at)), pa.array(n.astype(np.int32)), binaries(signs, 2 * SIGNS * np.arange(len(n) + 1)), sketch, _lists(hashes[early], np.concatenate([[0], np.cumsum(prefix)]))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,11 +295,12 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
         for batch in batches:
             yield _packed(batch, buckets)
 
-    schema = T.StructType([kept.schema["row"], kept.schema["mark"], *T.StructType.fromDDL("node long, n int, sign int, sketch binary, small binary, prefix array<long>")])
+    schema = T.StructType([kept.schema["row"], kept.schema["mark"], *T.StructType.fromDDL("node long, n int, signs binary, sketch binary, prefix array<long>")])
     rows = cut(kept.mapInArrow(sets, schema))
-    packed = rows.select("node", "n", "sign", "prefix").mapInArrow(deal, "bucket long, token binary, node binary, n binary, sign binary")
+    buckets = (rows.agg(F.sum("n")).first()[0] or 0) // BUCKET + 1
+    packed = rows.select("node", "n", "signs", "prefix").mapInArrow(deal, "bucket long, token binary, node binary, n binary, signs binary")
     dealt = cut(packed.groupBy("bucket").applyInArrow(lambda t: _met(t, threshold), "token long, node long, n int, other long"))
-    nodes = rows.select("node", "n", "sketch", "small", "mark")
+    nodes = rows.select("node", "n", "sketch", "mark")
 
     def verified(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -298,16 +318,17 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
         return out
 
     first = dealt.where("token is null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    links = verified(first)
-    known = components(links).withColumnRenamed("node", "member")
-    placed = dealt.where("token is not null").join(known, F.col("node") == F.col("member"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component"))
-    placed = cut(placed)
-    several = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    open_ = placed.join(several, "token", "left_semi")
-    sketched = nodes.select("node", "small").join(open_.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    more = cut(_others(open_.join(sketched, "node"), threshold).join(first, ["a", "b"], "left_anti"))
-    late = verified(more)
+    links, asked = verified(first), first
+    for nearest in (True, False):  # what is closest is linked before all that is left is looked at
+        known = components(links).withColumnRenamed("node", "member")
+        placed = cut(dealt.where("token is not null").join(known, F.col("node") == F.col("member"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component")))
+        several = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+        open_ = placed.join(several, "token", "left_semi")
+        sketched = nodes.select("node", "sketch").join(open_.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+        more = cut(_others(open_.join(sketched, "node"), threshold, nearest).join(asked, ["a", "b"], "left_anti"))
+        drop(placed)
+        links, asked = links.union(verified(more)), asked.union(more)
     # written, so that the engine splits a hot set in the join of all rows
-    groups = cut(components(links.union(late)).withColumnRenamed("node", "member"))
+    groups = cut(components(links).withColumnRenamed("node", "member"))
     placed = rows.select("row", "node").join(groups, F.col("node") == F.col("member"), "left")
     return placed.select("row.*", F.coalesce("component", "node").alias(GROUP))

@@ -309,7 +309,7 @@ def test_pipeline_near_copies(spark, monkeypatch):
         for i, j in pairs:
             root[i] = root[j] = min(root[i], root[j])
     assert sum(sets[i] != sets[j] for i, j in pairs) > 50
-    for heavy, bucket in ((similar.HEAVY, similar.BUCKET), (3, 5000)):
+    for heavy, bucket in ((similar.HEAVY, similar.BUCKET), (3, 900)):
         monkeypatch.setattr(similar, "HEAVY", heavy)
         monkeypatch.setattr(similar, "BUCKET", bucket)
         kept = corpus_pipeline.near_dedup(spark, table.union(table.limit(5)), "").collect()

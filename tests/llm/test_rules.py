@@ -272,6 +272,14 @@ def test_url_filters(spark):
     assert len(twice) == 80
 
 
+def test_rules_of_one_length(spark):
+    rules = (("block", "b.com/x/"), ("allow", "b.com/"), ("allow", "b.com/y/"), ("block", "a.b.com/"), ("allow", "com/x/yz/"))
+    made = [(1, "http://a.b.com/x/1"), (2, "http://b.com/y/"), (3, "http://c.b.com/z"), (4, "http://a.b.com/x/yz/"), (5, "http://xb.com/x/")]
+    pages = spark.createDataFrame([(i, u, None) for i, u in made], "page_id long, url string, html string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(pages, rules, damping=0.5).collect()}
+    assert got == {1: ("a.b.com/", "block"), 2: ("b.com/y/", "allow"), 3: ("b.com/", "allow"), 4: ("com/x/yz/", "allow"), 5: (None, "allow")}
+
+
 # packing
 
 
