@@ -23,6 +23,8 @@ COARSE, TILE = 64, 512
 SIGNS = 3
 #: Shingles of documents, about a fifth of which are tokens, that a bucket is meant to look after.
 BUCKET = 1 << 22
+#: Tokens that are put in order of buckets at a time.
+PACKED = 1 << 20
 GROUP = "near_group"
 
 
@@ -182,7 +184,7 @@ def _others(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
                         right = np.arange(j, min(b, j + TILE))
                         x, y = np.nonzero((component[left][:, None] != component[right]) & _fit(n[left][:, None], n[right], threshold))
                         x, y = left[x], right[y]
-                        differ = _apart(coarse[x], coarse[y])
+                        differ = _apart(coarse, x, y)
                         ok = _possible(differ, n[x], n[y], threshold)
                         x, y, differ = x[ok], y[ok], differ[ok]
                         if nearest and len(x):
@@ -190,10 +192,10 @@ def _others(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
                             best = best[np.lexsort((best[:, 2], best[:, 1], best[:, 0]))]
                             best = best[np.concatenate([[True], best[1:, 0] != best[:-1, 0]])]
                             continue
-                        ok = _possible(_apart(sketch[x], sketch[y]), n[x], n[y], threshold)
+                        ok = _possible(_apart(sketch, x, y), n[x], n[y], threshold)
                         found.append(np.stack([node[x[ok]], node[y[ok]]], 1))
                     x, y = best[:, 0], best[:, 2]
-                    ok = _possible(_apart(sketch[x], sketch[y]), n[x], n[y], threshold)
+                    ok = _possible(_apart(sketch, x, y), n[x], n[y], threshold)
                     found.append(np.stack([node[x[ok]], node[y[ok]]], 1))
             pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -206,9 +208,13 @@ def _fit(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return np.minimum(x, y) >= threshold * np.maximum(x, y) - 1e-9
 
 
-def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The sum of what the bins of sketches differ by: sets differ at least by that."""
-    return np.abs(left.astype(np.int16) - right.astype(np.int16)).sum(1, dtype=np.int64)
+def _apart(sketch: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The sum of what the bins of the sketches of rows x and y differ by: sets differ at least by that. So many pairs at a time that memory stays in bounds."""
+    out = np.zeros(len(x), np.int64)
+    for a in range(0, len(x), 8192):
+        b = a + 8192
+        out[a:b] = np.abs(sketch[x[a:b]].astype(np.int16) - sketch[y[a:b]].astype(np.int16)).sum(1, dtype=np.int64)
+    return out
 
 
 def _possible(differ: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
@@ -221,8 +227,9 @@ def _bounded(pairs: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sketch_a", "sketch_b"))
-            ok = pa.array(_possible(_apart(left, right), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), threshold))
+            both = np.concatenate([np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sketch_a", "sketch_b")])
+            place = np.arange(batch.num_rows)
+            ok = pa.array(_possible(_apart(both, place, place + batch.num_rows), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), threshold))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -293,7 +300,10 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _packed(batch, buckets)
+            block = np.cumsum(pc.list_value_length(batch.column("prefix")).to_numpy(zero_copy_only=False)) // PACKED
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [batch.num_rows]]) if batch.num_rows else [0]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield _packed(batch.slice(int(a), int(b - a)), buckets)
 
     schema = T.StructType([kept.schema["row"], kept.schema["mark"], *T.StructType.fromDDL("node long, n int, signs binary, sketch binary, prefix array<long>")])
     rows = cut(kept.mapInArrow(sets, schema))
@@ -322,7 +332,10 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     for nearest in (True, False):  # what is closest is linked before all that is left is looked at
         known = components(links).withColumnRenamed("node", "member")
         placed = cut(dealt.where("token is not null").join(known, F.col("node") == F.col("member"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component")))
-        several = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+        # of tokens that the same nodes have, told by two hashes of them all and their number, one stands for the others
+        of_all = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"all{k}") for k in range(2)]
+        several = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many"), *of_all).where("low < high")
+        several = several.groupBy("all0", "all1", "many").agg(F.min("token").alias("token")).select("token")
         open_ = placed.join(several, "token", "left_semi")
         sketched = nodes.select("node", "sketch").join(open_.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
         more = cut(_others(open_.join(sketched, "node"), threshold, nearest).join(asked, ["a", "b"], "left_anti"))
