@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from kinlink.config import Config
 from kinlink.operators import bm25, features, merge, outputs, vector
@@ -19,6 +20,15 @@ def hashed_vectors(rows: DataFrame, text: str, size: int = 64) -> DataFrame:
     return rows.withColumn("vec", vec)
 
 
+def model_encoder(make_predict: Callable[[], Callable], batch_size: int = 256) -> Callable[[DataFrame, str], DataFrame]:
+    """An encoder that runs a model over batches of texts on executors.
+
+    make_predict loads the model, once a worker, and returns a function from an array of texts to a matrix of their vectors.
+    """
+    run = predict_batch_udf(make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    return lambda rows, text: rows.withColumn("vec", run(F.coalesce(F.col(text), F.lit(""))).cast("array<double>"))
+
+
 def _kept(rows: DataFrame, work: str | None, name: str) -> DataFrame:
     """rows written under work and read back, or persisted where there is no such folder: what several results share is made once."""
     if work is None:

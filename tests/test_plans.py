@@ -119,6 +119,17 @@ def expected(asked, targets):
     return out
 
 
+def test_model_encoder(spark):
+    def load():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), t.count("a")] for t in texts], np.float32)
+
+    rows = spark.createDataFrame([(1, "banana"), (2, None), (3, "oak")], "id int, t string")
+    got = {r.id: r.vec for r in resolve.model_encoder(load, 2)(rows, "t").collect()}
+    assert got == {1: [6.0, 3.0], 2: [0.0, 0.0], 3: [3.0, 1.0]}
+
+
 def test_candidates_and_results(spark, records, tmp_path):
     asked, targets = records
     frame = lambda rows: spark.createDataFrame([tuple(r.values()) for r in rows], "id string, country string, name string, addr string, is_cross_script boolean, source string")

@@ -150,6 +150,13 @@ def test_samples(spark):
     assert [r.id for r in quality.systematic_sample(rows, "g", "id", 100).where("g = 1").orderBy("id").collect()] == list(range(1, 3000, 30))
 
 
+def test_spot_sample_export(spark, tmp_path):
+    rows = spark.range(200).select(F.format_string("S2-%03d", "id").alias("entity_id"), F.lit("tab\there").alias("name"))
+    quality.export_spot_sample(rows, "entity_id", str(tmp_path / "spot"), 7)
+    lines = [r[0] for r in spark.read.text(str(tmp_path / "spot")).collect()]
+    assert lines[0] == "entity_id\tname" and len(lines) == 8 and lines[1:] == sorted(lines[1:])
+
+
 def test_chunks(spark, tmp_path):
     pairs = spark.range(1000).select(F.concat(F.lit("S1-"), F.col("id") % 90).alias("s1_id"), F.col("id").alias("cand_id"))
     tables.write_chunks(pairs, str(tmp_path / "c"), 20)
