@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,10 +56,10 @@ class PreTokens:
 
     def __init__(self, differences: dict[int, str]):
         self.pattern, self.differences = regex.compile(PATTERN), differences
-        self.some = re.compile("[" + "".join(re.escape(chr(c)) for c in differences) + "]") if differences else None
+        self.some = frozenset(map(chr, differences))
 
     def cut(self, text: str) -> list[str]:
-        if self.some is None or text.isascii() or not self.some.search(text):
+        if text.isascii() or self.some.isdisjoint(text):
             return self.pattern.findall(text)
         return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.differences))]
 
