@@ -476,6 +476,7 @@ def _raw(rows, entity, name, addr):
 '##' || l_linenumber || ' ' || l_returnflag || ' ,, ' || (case when l_discount < 0.02 then 'NULL' else p_type end) || ' , ' || p_brand as raw_addr from lineitem join part on l_partkey = p_partkey"""))
 def processed_items(s, d):
     rows = _t(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_discount", "l_partkey").join(_t(s, d, "part").select("p_partkey", "p_name", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.repartition(s.sparkContext.defaultParallelism, "l_orderkey")  # a small file is one scan split, and cleaning is what costs
     name = F.concat(F.lit("<< "), F.upper("p_name"), F.lit(" ["), "p_brand", F.lit("] ["), "p_brand", F.lit("] | www."), "p_partkey", F.lit(".com"))
     addr = F.concat(F.lit("##"), "l_linenumber", F.lit(" "), "l_returnflag", F.lit(" ,, "), F.when(F.col("l_discount") < 0.02, "NULL").otherwise(F.col("p_type")), F.lit(" , "), "p_brand")
     return prepare.process(_raw(rows, F.concat_ws("/", "l_orderkey", "l_linenumber"), name, addr))
