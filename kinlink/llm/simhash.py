@@ -17,6 +17,26 @@ from kinlink.llm.text import slices, split_words, texts_of
 
 #: A fingerprint's cell is the population counts of its four 16-bit quarters.
 QUARTERS, LEVELS = 4, 17
+#: Each byte's bits, the lowest first, as the bytes of a number.
+LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def majority(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The fingerprint of each row of hashes, whose offsets are at: a bit is set if it is in over half of them; 0 without any."""
+    out = np.zeros((len(at) - 1, 8), np.uint8)
+    some = np.flatnonzero(np.diff(at))
+    if not len(some):
+        return out.view(np.uint64).ravel()
+    size = np.diff(at)[some]
+    pieces = -(-size // 255)  # whose counts fit a byte
+    home = np.cumsum(pieces) - pieces
+    begin = np.repeat(at[:-1][some], pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(home, pieces))
+    by_byte = hashes[: at[-1]].view(np.uint8).reshape(-1, 8)
+    for k in range(8):  # eight counts, one a bit, in the bytes of one number
+        counts = np.add.reduceat(LANES[by_byte[:, k]], begin).view(np.uint8).reshape(-1, 8)
+        ones = np.add.reduceat(counts, home, axis=0, dtype=np.int32)
+        out[some, k] = np.packbits(2 * ones > size[:, None], axis=1, bitorder="little").ravel()
+    return out.view(np.uint64).ravel()
 
 
 def _fingerprints(texts: pa.Array, size: int) -> np.ndarray:
@@ -35,15 +55,7 @@ def _fingerprints(texts: pa.Array, size: int) -> np.ndarray:
     for i in np.flatnonzero(short):
         r = rows[i]
         hashes[i] = digest(" ".join(words[int(at[r]) : int(at[r + 1])].to_pylist()), 42)
-    out = np.zeros(n, np.uint64)
-    some = np.flatnonzero(number)
-    edges = np.concatenate([starts[some], starts[-1:]])
-    for a in range(0, len(some), 512):  # a bounded matrix of bits at a time
-        part = edges[a : a + 513]
-        bits = np.unpackbits(hashes[part[0] : part[-1]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, part[:-1] - part[0], axis=0, dtype=np.int32)
-        out[some[a : a + 512]] = np.packbits(2 * ones > np.diff(part)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-    return out
+    return majority(hashes, starts)
 
 
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

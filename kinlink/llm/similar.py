@@ -1,4 +1,4 @@
-"""Near copies by the exact Jaccard similarity of word shingles: a prefix filter, a bound by sketches, then whole sets."""
+"""Near copies by SimHash fingerprints of word shingles, verified by Jaccard; what fingerprints miss is found by a prefix filter, a bound by sketches and whole sets."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from kinlink.llm.graph import components
+from kinlink.llm.simhash import majority
 from kinlink.llm.store import cut, drop, tidy
 from kinlink.llm.text import ODD, binaries, flat, rows_of, slices, spaced, split_words, texts_of, word_hashes
 
@@ -19,8 +20,12 @@ SAMPLE, HEAVY = 8000, 16
 BINS = 256
 #: Bins that are compared first, and nodes of a token compared at a time.
 COARSE, TILE = 64, 512
-#: Least hashes by which similar documents are put side by side.
-SIGNS = 3
+#: Bits that fingerprints of near copies may differ by; at a Jaccard of 0.8 some 10 of 64 do, 3 more or less.
+RADIUS = 20
+#: Orders of fingerprints, each led by another quarter of their bits.
+TURNS = 4
+#: Sets of more shingles have a second sketch, of a bin for each FINE of them or fewer.
+LONG, FINE = 1024, 4
 #: Shingles of documents, about a fifth of which are tokens, that a bucket is meant to look after.
 BUCKET = 1 << 22
 #: Tokens that are put in order of buckets at a time.
@@ -79,6 +84,16 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+def _fine(hashes: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The second sketch of each long row, empty for others: counts in so many bins, a power of two, that few shingles share one."""
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        bits = (-(-(b - a) // FINE) - 1).bit_length()
+        bins = np.bincount((hashes[a:b] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) if b - a > LONG else ()
+        out.append(np.minimum(bins, 255).astype(np.uint8).tobytes())
+    return pa.array(out, pa.binary())
+
+
 def _nodes(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """One hash of each row's set of shingles."""
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(hashes ^ np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)])
@@ -86,9 +101,9 @@ def _nodes(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _packed(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
-    """The tokens of a batch's distinct nodes, one row a bucket: five bytes of the token, and its node, size and signs, as binaries."""
+    """The tokens of a batch's distinct nodes, one row a bucket: five bytes of the token, and its node, size and fingerprint, as binaries."""
     node, n, prefix = batch.column("node").to_numpy(), batch.column("n").to_numpy(), batch.column("prefix")
-    signs = np.frombuffer(b"".join(batch.column("signs").to_pylist()), "<u2").reshape(-1, SIGNS)
+    fp = batch.column("fp").to_numpy()
     at = prefix.offsets.to_numpy().astype(np.int64)
     token = prefix.flatten().to_numpy().view(np.uint64)
     _, once = np.unique(node, return_index=True)
@@ -102,36 +117,36 @@ def _packed(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     bucket, token, row = bucket[order], token[order], row[order]
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
     short = np.ascontiguousarray((token >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-    made = [pa.array(bucket[edges[:-1]], pa.int64()), binaries(short, 5 * edges), binaries(node[row], 8 * edges), binaries(n[row].astype(np.int32), 4 * edges), binaries(np.ascontiguousarray(signs[row]), 2 * SIGNS * edges)]
-    return pa.RecordBatch.from_arrays(made, names=["bucket", "token", "node", "n", "signs"])
+    made = [pa.array(bucket[edges[:-1]], pa.int64()), binaries(short, 5 * edges), binaries(node[row], 8 * edges), binaries(n[row].astype(np.int32), 4 * edges), binaries(fp[row], 8 * edges)]
+    return pa.RecordBatch.from_arrays(made, names=["bucket", "token", "node", "n", "fp"])
 
 
 def _met(table: pa.Table, threshold: float) -> pa.Table:
     """A bucket's tokens that several nodes have, (token, node, n); and, with a null token, (node, other): neighbours at a token, whose sizes allow the threshold.
 
-    Nodes of a token stand side by side by each of their signs (least hashes, each of which two sets have in common as
-    often as they are similar) and size, and neighbours of one sign are paired: pairs are as many as tokens, however many
-    nodes have one. Tokens that five bytes don't tell apart are one, which gives candidates for nothing, but loses none.
+    Nodes of a token stand side by side by their fingerprints, turned so that each quarter leads once, and neighbours
+    within RADIUS bits are paired: pairs are as many as tokens, however many nodes have one. Tokens that five bytes don't
+    tell apart are one, which gives candidates for nothing, but loses none.
     """
-    short, node, n, signs = (flat(table.column(c), t)[0] for c, t in (("token", "u1"), ("node", "<i8"), ("n", "<i4"), ("signs", "<u2")))
-    signs = signs.reshape(-1, SIGNS)
+    short, node, n, fp = (flat(table.column(c), t)[0] for c, t in (("token", "u1"), ("node", "<i8"), ("n", "<i4"), ("fp", "<u8")))
     wide = np.zeros((len(node), 8), np.uint8)
     wide[:, :5] = short.reshape(-1, 5)
     home = table.column("bucket")[0].as_py() if len(table) else 0
     token = wide.view("<i8").ravel() | np.int64((home << 40) & ((1 << 63) - 1))
     order = np.lexsort((node, token))
-    token, node, n, signs = token[order], node[order], n[order], signs[order]
+    token, node, n, fp = token[order], node[order], n[order], fp[order]
     fresh = np.ones(len(token), bool)
     fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-    token, node, n, signs = token[fresh], node[fresh], n[fresh], signs[fresh]
+    token, node, n, fp = token[fresh], node[fresh], n[fresh], fp[fresh]
     same = token[1:] == token[:-1]
     met = (np.concatenate([same, [False]]) | np.concatenate([[False], same]))[: len(token)]
-    token, node, n, signs = token[met], node[met], n[met], signs[met]
+    token, node, n, fp = token[met], node[met], n[met], fp[met]
     pairs = [np.zeros((0, 2), np.int64)]
-    for k in range(SIGNS):
-        order = np.lexsort((n, signs[:, k], token))
-        t, x, size, sign = token[order], node[order], n[order], signs[order, k]
-        at = np.flatnonzero((t[1:] == t[:-1]) & (sign[1:] == sign[:-1]))
+    for k in range(TURNS):
+        turned = (fp << np.uint64(16 * k)) | (fp >> np.uint64(64 - 16 * k)) if k else fp
+        order = np.lexsort((n, turned, token))
+        t, x, size, bits = token[order], node[order], n[order], turned[order]
+        at = np.flatnonzero((t[1:] == t[:-1]) & (np.bitwise_count(bits[1:] ^ bits[:-1]) <= RADIUS))
         at = at[_fit(size[at], size[at + 1], threshold)]
         pairs.append(np.stack([x[at], x[at + 1]], 1))
     pairs = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
@@ -156,11 +171,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _others(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
+def _others(rows: DataFrame, threshold: float) -> DataFrame:
     """(a, b): nodes of different components with a token in common whose sizes and sketches leave the threshold possible.
 
     A token's nodes are compared where they lie, those of its largest component only with the others, and what cannot be
-    is not given out. nearest: of each node's pairs at a token only the one with the closest sketch is.
+    is not given out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,24 +194,15 @@ def _others(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
                 top = int(count.argmax())
                 rest = np.concatenate([np.arange(a, a + first[top]), np.arange(a + first[top] + count[top], b)])
                 for i in range(0, len(rest), TILE):
-                    left, best = rest[i : i + TILE], np.zeros((0, 3), np.int64)
+                    left = rest[i : i + TILE]
                     for j in range(a, b, TILE):
                         right = np.arange(j, min(b, j + TILE))
                         x, y = np.nonzero((component[left][:, None] != component[right]) & _fit(n[left][:, None], n[right], threshold))
                         x, y = left[x], right[y]
-                        differ = _apart(coarse, x, y)
-                        ok = _possible(differ, n[x], n[y], threshold)
-                        x, y, differ = x[ok], y[ok], differ[ok]
-                        if nearest and len(x):
-                            best = np.concatenate([best, np.stack([x, differ, y], 1)])
-                            best = best[np.lexsort((best[:, 2], best[:, 1], best[:, 0]))]
-                            best = best[np.concatenate([[True], best[1:, 0] != best[:-1, 0]])]
-                            continue
-                        ok = _possible(_apart(sketch, x, y), n[x], n[y], threshold)
-                        found.append(np.stack([node[x[ok]], node[y[ok]]], 1))
-                    x, y = best[:, 0], best[:, 2]
-                    ok = _possible(_apart(sketch, x, y), n[x], n[y], threshold)
-                    found.append(np.stack([node[x[ok]], node[y[ok]]], 1))
+                        for counts in (coarse, sketch):
+                            ok = _possible(_apart(counts, x, y), n[x], n[y], threshold)
+                            x, y = x[ok], y[ok]
+                        found.append(np.stack([node[x], node[y]], 1))
             pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -228,8 +234,13 @@ def _bounded(pairs: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = np.concatenate([np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sketch_a", "sketch_b")])
-            place = np.arange(batch.num_rows)
-            ok = pa.array(_possible(_apart(both, place, place + batch.num_rows), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), threshold))
+            place, n, m = np.arange(batch.num_rows), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            ok = _possible(_apart(both, place, place + batch.num_rows), n, m, threshold)
+            for i in np.flatnonzero(ok & (np.minimum(n, m) > LONG)).tolist():
+                x, y = (np.frombuffer(batch.column(c)[i].as_py(), np.uint8).astype(np.int64) for c in ("fine_a", "fine_b"))
+                k = min(len(x), len(y))
+                ok[i] = _possible(np.abs(x.reshape(k, -1).sum(1) - y.reshape(k, -1).sum(1)).sum(), n[i], m[i], threshold)
+            ok = pa.array(ok)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -257,8 +268,8 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
 
     Words are ASCII-lowered; a text of fewer words is one shingle; null texts and texts without words are one group;
     repeated rows share one; an empty table gives no rows. No pair is missed: sets that similar share one of their first
-    n - ceil(threshold n) + 1 shingles in any one order of all shingles. Sets that share one are candidates; neighbours
-    among them are held against each other first, then the closest, and then all that are not of one component yet, where
+    n - ceil(threshold n) + 1 shingles in any one order of all shingles. Of sets that share one, those next to each other by
+    SimHash fingerprint and within RADIUS bits are held against each other first, and then all that are not of one component yet, where
     counts in bins cannot rule them out. What is left is compared by whole sets of 64-bit hashes. Tokens are dealt in buckets, as arrays.
     """
     text = F.col(text_col).cast("string")
@@ -276,7 +287,7 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     heavy, weight = np.array([r["token"] for r in common], np.int64).view(np.uint64), np.array([r["count"] for r in common], np.int64)
     by_hash = np.argsort(heavy)
     heavy, weight = heavy[by_hash], weight[by_hash]
-    names = ["row", "mark", "node", "n", "signs", "sketch", "prefix"]
+    names = ["row", "mark", "node", "n", "fp", "sketch", "fine", "prefix"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):
@@ -286,11 +297,7 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
             early = np.arange(len(hashes)) - at[:-1][row] < prefix[row]
             bins = np.bincount(row * BINS + (hashes >> np.uint64(56)).astype(np.int64), minlength=len(n) * BINS)
             sketch = binaries(np.minimum(bins, 255).astype(np.uint8), BINS * np.arange(len(n) + 1))
-            signs = np.zeros((len(n), SIGNS), "<u2")
-            for k in range(SIGNS if len(hashes) else 0):  # hashes are mixed: odd factors put them in other orders
-                least = np.minimum.reduceat((hashes ^ (hashes >> np.uint64(32))) * np.uint64(ODD + 2 * k), at[:-1][n > 0])
-                signs[n > 0, k] = _mixed(least) >> np.uint64(48)
-            columns = [batch.column("row"), batch.column("mark"), pa.array(_nodes(hashes, at)), pa.array(n.astype(np.int32)), binaries(signs, 2 * SIGNS * np.arange(len(n) + 1)), sketch, _lists(hashes[early], np.concatenate([[0], np.cumsum(prefix)]))]
+            columns = [batch.column("row"), batch.column("mark"), pa.array(_nodes(hashes, at)), pa.array(n.astype(np.int32)), pa.array(majority(hashes, at).view(np.int64)), sketch, _fine(hashes, at), _lists(hashes[early], np.concatenate([[0], np.cumsum(prefix)]))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,18 +312,18 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 yield _packed(batch.slice(int(a), int(b - a)), buckets)
 
-    schema = T.StructType([kept.schema["row"], kept.schema["mark"], *T.StructType.fromDDL("node long, n int, signs binary, sketch binary, prefix array<long>")])
+    schema = T.StructType([kept.schema["row"], kept.schema["mark"], *T.StructType.fromDDL("node long, n int, fp long, sketch binary, fine binary, prefix array<long>")])
     rows = cut(kept.mapInArrow(sets, schema))
     buckets = (rows.agg(F.sum("n")).first()[0] or 0) // BUCKET + 1
-    packed = rows.select("node", "n", "signs", "prefix").mapInArrow(deal, "bucket long, token binary, node binary, n binary, signs binary")
+    packed = rows.select("node", "n", "fp", "prefix").mapInArrow(deal, "bucket long, token binary, node binary, n binary, fp binary")
     dealt = cut(packed.groupBy("bucket").applyInArrow(lambda t: _met(t, threshold), "token long, node long, n int, other long"))
-    nodes = rows.select("node", "n", "sketch", "mark")
+    nodes = rows.select("node", "n", "sketch", "fine", "mark")
 
     def verified(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         # sizes and sketches of what is asked for, one row a node
         sides = cut(nodes.join(asked, "node", "left_semi").dropDuplicates(["node"]))
-        side = lambda x: sides.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+        side = lambda x: sides.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"), F.col("fine").alias(f"fine_{x}"))
         likely = cut(_bounded(pairs.join(side("a"), "a").join(side("b"), "b"), threshold))
         asked = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
         marks = sides.join(asked, "node", "left_semi").select("mark").distinct()
@@ -328,19 +335,19 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
         return out
 
     first = dealt.where("token is null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    links, asked = verified(first), first
-    for nearest in (True, False):  # what is closest is linked before all that is left is looked at
-        known = components(links).withColumnRenamed("node", "member")
-        placed = cut(dealt.where("token is not null").join(known, F.col("node") == F.col("member"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component")))
-        # of tokens that the same nodes have, told by two hashes of them all and their number, one stands for the others
-        of_all = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"all{k}") for k in range(2)]
-        several = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many"), *of_all).where("low < high")
-        several = several.groupBy("all0", "all1", "many").agg(F.min("token").alias("token")).select("token")
-        open_ = placed.join(several, "token", "left_semi")
-        sketched = nodes.select("node", "sketch").join(open_.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-        more = cut(_others(open_.join(sketched, "node"), threshold, nearest).join(asked, ["a", "b"], "left_anti"))
-        drop(placed)
-        links, asked = links.union(verified(more)), asked.union(more)
+    links = verified(first)
+    # what fingerprints put elsewhere: all that has a token in common and is not of one component yet
+    known = components(links).withColumnRenamed("node", "member")
+    placed = cut(dealt.where("token is not null").join(known, F.col("node") == F.col("member"), "left").select("token", "node", "n", F.coalesce("component", "node").alias("component")))
+    # of tokens that the same nodes have, told by two hashes of them all and their number, one stands for the others
+    of_all = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"all{k}") for k in range(2)]
+    several = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many"), *of_all).where("low < high")
+    several = several.groupBy("all0", "all1", "many").agg(F.min("token").alias("token")).select("token")
+    open_ = placed.join(several, "token", "left_semi")
+    sketched = nodes.select("node", "sketch").join(open_.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    more = cut(_others(open_.join(sketched, "node"), threshold).join(first, ["a", "b"], "left_anti"))
+    drop(placed)
+    links = links.union(verified(more))
     # written, so that the engine splits a hot set in the join of all rows
     groups = cut(components(links).withColumnRenamed("node", "member"))
     placed = rows.select("row", "node").join(groups, F.col("node") == F.col("member"), "left")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -314,3 +315,23 @@ def test_pipeline_near_copies(spark, monkeypatch):
         monkeypatch.setattr(similar, "BUCKET", bucket)
         kept = corpus_pipeline.near_dedup(spark, table.union(table.limit(5)), "").collect()
         assert sorted(r.doc_id for r in kept) == sorted(set(root))
+
+
+def test_near_copies_are_linked_by_fingerprints_and_long_sets_ruled_out_by_fine_counts(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 400, np.uint64)
+    near = np.concatenate([base[:380], rng.integers(0, 1 << 63, 20, np.uint64)])
+    other = rng.integers(0, 1 << 63, 400, np.uint64)
+    fp = simhash.majority(np.concatenate([base, near, other]), np.array([0, 400, 800, 1200]))
+    cells = [b"\1" * 5 * 3, np.arange(1, 4).astype("<i8").tobytes(), np.full(3, 400, "<i4").tobytes(), fp.tobytes()]
+    table = pa.table([pa.array([0]), *(pa.array([c]) for c in cells)], names=["bucket", "token", "node", "n", "fp"])
+    met = similar._met(table, 0.8).to_pylist()
+    assert [(r["node"], r["other"]) for r in met if r["token"] is None] == [(1, 2)]
+    # 8000 shingles each, the half in common: counts in 256 bins leave 0.8 possible, finer ones do not
+    sets = np.sort(rng.integers(0, 1 << 63, (3, 4000), np.uint64) * np.uint64(2), axis=1)
+    sides = [np.concatenate([sets[0], sets[k]]) for k in (1, 2)]
+    fine = [similar._fine(s, np.array([0, 8000]))[0].as_py() for s in sides]
+    coarse = [np.bincount((s >> np.uint64(56)).astype(int), minlength=256).clip(max=255).astype(np.uint8).tobytes() for s in sides]
+    rows = [(1, 2, 8000, 8000, bytearray(coarse[0]), bytearray(coarse[k]), bytearray(fine[0]), bytearray(fine[k])) for k in (0, 1)]
+    pairs = spark.createDataFrame(rows, "a long, b long, n_a int, n_b int, sketch_a binary, sketch_b binary, fine_a binary, fine_b binary")
+    assert similar._bounded(pairs, 0.8).count() == 1
