@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kinlink.config import Config
 from kinlink.functions.text import ngrams
+from kinlink.operators.best import best, sizes
 
-
-HEAVY = 100_000
+#: Documents that are searched at a time.
+HEAVY = 8192
 
 
 @dataclass
 class Index:
-    """postings (block, tok, doc, tf, dl), idf (block, tok, idf, parts) and stats (block, n, avgdl); blocks are open.
-
-    A token's postings are searched in parts, of about HEAVY documents each, so that a frequent one is no single task's.
-    """
+    """postings (block, tok, doc, tf, dl), idf (block, tok, idf) and stats (block, n, avgdl); blocks are open."""
 
     postings: DataFrame
     idf: DataFrame
@@ -38,9 +36,9 @@ def build(rows: DataFrame, block: str, key: str, text: str, config: Config = Con
     lengths = rows.select(F.col(block).alias("block"), F.size(ngrams(F.col(text), config.ngram)).alias("dl"))
     stats = lengths.groupBy("block").agg(F.count(F.lit(1)).alias("n"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
     df = postings.groupBy("block", "tok").agg(F.count(F.lit(1)).alias("df"))
-    raw = df.join(stats, "block").select("block", "tok", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"), F.ceil(F.col("df") / HEAVY).cast("int").alias("parts"))
+    raw = df.join(stats, "block").select("block", "tok", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
     mean = raw.groupBy("block").agg(F.avg("raw").alias("mean"))
-    idf = raw.join(mean, "block").select("block", "tok", F.when(F.col("raw") >= 0, F.col("raw")).otherwise(config.bm25_epsilon * F.col("mean")).alias("idf"), "parts")
+    idf = raw.join(mean, "block").select("block", "tok", F.when(F.col("raw") >= 0, F.col("raw")).otherwise(config.bm25_epsilon * F.col("mean")).alias("idf"))
     return Index(postings, idf, stats)
 
 
@@ -53,16 +51,13 @@ def weight(config: Config) -> Column:
 def search(queries: DataFrame, index: Index, block: str, key: str, text: str, k: int, config: Config = Config()) -> DataFrame:
     """(block, q, doc, score, rank): the k best documents of each query's block, scores above 0 only, ties by doc.
 
-    A token costs its queries times its postings. Both sides know its parts: postings are dealt over them by document and
-    queries go to each; sums over a part's pairs run before the pairs are shuffled, and a query's ranks keep k rows only.
+    Tiles of queries and documents are scored where they lie, and of each pair of tiles a query's k best are given out.
     """
     if k <= 0:
         raise ValueError(f"k must be positive, not {k}")
-    weighted = index.postings.join(index.idf, ["block", "tok"]).join(index.stats, "block").select("block", "tok", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "doc", weight(config).alias("w"))
-    asked = token_counts(queries, block, key, text, config).join(index.idf, ["block", "tok"]).select("block", "tok", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("doc").alias("q"), F.col("tf").alias("qtf"))
-    scored = asked.join(weighted, ["block", "tok", "part"]).groupBy("block", "q", "doc").agg(F.round(F.sum(F.col("qtf") * F.col("w")), 6).alias("score"))
-    order = W.partitionBy("block", "q").orderBy(F.desc("score"), "doc")
-    return scored.where("score > 0").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    weighted = index.postings.join(index.idf, ["block", "tok"]).join(index.stats, "block").select("block", "doc", "tok", weight(config).alias("w"))
+    asked = token_counts(queries, block, key, text, config).join(index.idf, ["block", "tok"]).select("block", F.col("doc").alias("q"), "tok", F.col("tf").cast("double").alias("w"))
+    return best(asked, weighted, k, (sizes(queries, block), index.stats.select("block", "n")), HEAVY).where("score > 0")
 
 
 def self_scores(rows: DataFrame, index: Index, block: str, key: str, text: str, config: Config = Config()) -> DataFrame:

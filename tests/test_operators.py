@@ -252,3 +252,16 @@ def test_candidates(spark):
 
 def test_every_oracle_has_a_query():
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+def test_best_documents_of_a_hot_block_go_by_tiles(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "b", f"abc{i % 7}xyz{i % 3}") for i in range(60)], "id long, b string, t string")
+    index = bm25.build(rows, "b", "id", "t")
+    whole = bm25.search(rows, index, "b", "id", "t", 9)
+    assert "FlatMap" not in (plan := whole._jdf.queryExecution().toString()) and "MapInArrow" in plan
+    monkeypatch.setattr(bm25, "HEAVY", 7)
+    monkeypatch.setattr("kinlink.operators.best.ASKED", 11)
+    monkeypatch.setattr("kinlink.operators.best.CELLS", 20)
+    parts = bm25.search(rows, index, "b", "id", "t", 9)
+    got = sorted(map(tuple, parts.collect()))
+    assert len(got) == 540 and got == sorted(map(tuple, whole.collect()))
