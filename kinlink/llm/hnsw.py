@@ -15,6 +15,8 @@ from kinlink.llm.store import cut, tidy
 _ROWS = 256
 #: Bytes of the shards that ask one shard in one task.
 ASKING = 64 << 20
+#: The beam that searches begin with; one that is to be wider than a WIDE-th of the shard's rows is made as wide as the shard, as reading all rows costs less.
+EF, WIDE = 32, 16
 #: A beam as wide as a shard of at most so many rows is still walked.
 WALKED = 64
 #: Of the nearest rows that are no links, the share that audits ask walks to find.
@@ -26,7 +28,7 @@ def _select(candidates: np.ndarray, sims: np.ndarray, unit: np.ndarray, m: int)
     order = np.argsort(-sims, axis=1, kind="stable")
     candidates, sims = np.take_along_axis(candidates, order, 1), np.take_along_axis(sims, order, 1)
     vectors = unit[np.maximum(candidates, 0)]
-    gram = np.einsum("qcd,qed->qce", vectors, vectors)
+    gram = vectors @ vectors.transpose(0, 2, 1)
     chosen = np.zeros(candidates.shape, bool)
     for t in range(candidates.shape[1]):
         crowded = (chosen & (gram[:, t] > sims[:, t : t + 1])).any(1)
@@ -113,7 +115,7 @@ class Graph:
             links[own_rows] = packed
 
     def _unreached(self) -> np.ndarray:
-        """Rows that no path of the lowest layer reaches from where searches enter it; queries are held against them one by one."""
+        """Rows that no path of the lowest layer reaches from where searches enter it, or that few links lead to and walks for themselves miss; queries are held against them one by one."""
         links, n = self.layers[0], len(self.unit)
         seen = np.zeros(n + 1, bool)
         front = self.members[1] if len(self.members) > 1 else self.members[0][:1]
@@ -121,10 +123,15 @@ class Graph:
             seen[front] = True
             come = np.unique(links[front])
             front = come[(come >= 0) & ~seen[come]]
+        rare = np.flatnonzero(np.bincount(links[links >= 0], minlength=n) <= self.m) if n > EF else np.zeros(0, np.int64)
+        for a in range(0, len(rare), _ROWS):
+            part = rare[a : a + _ROWS]
+            ids, _ = self._walk(self.unit[part], 0, EF, self._enter(self.unit[part], 0))
+            seen[part[~(ids == part[:, None]).any(1)]] = False
         return np.flatnonzero(~seen[:n])
 
     def _sims(self, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        return np.einsum("qd,qkd->qk", queries, self.unit[np.maximum(rows, 0)])
+        return (self.unit[np.maximum(rows, 0)] @ queries[:, :, None])[:, :, 0]
 
     def _enter(self, queries: np.ndarray, height: int) -> np.ndarray:
         at = np.zeros((len(queries), 1), np.int64) + (self.members[-1][0] if len(self.members) else 0)
@@ -182,7 +189,7 @@ class Graph:
                 out_q.append(part[x])
                 out_r.append(ids[x, y])
                 again.append(part[full])
-            todo, ef = np.concatenate(again), 4 * ef if 8 * ef < n else n
+            todo, ef = np.concatenate(again), _wider(ef, n)
         q, r = np.concatenate([np.zeros(0, np.int64), *out_q]), np.concatenate([np.zeros(0, np.int64), *out_r])
         key = np.unique(q * n + r)  # a row apart may be met on a walk too
         return key // n, key % n
@@ -196,6 +203,10 @@ class Graph:
         return self._walk(queries, 0, ef, self._enter(queries, 0))
 
 
+def _wider(ef: int, n: int) -> int:
+    return 4 * ef if 4 * ef * WIDE <= n else n
+
+
 @dataclass(frozen=True)
 class Audit:
     """How one search was audited: the beam's width, what sampled queries have in a full scan, and how much of it walks found."""
@@ -205,11 +216,12 @@ class Audit:
     found: int
 
 
-def audited(graph: Graph, queries: np.ndarray, threshold: float, ef: int = 32, audit_every: int = 16, audit_least: int = 512, recall: float = 1.0, own: bool = False) -> tuple[np.ndarray, np.ndarray, Audit]:
+def audited(graph: Graph, queries: np.ndarray, threshold: float, ef: int = EF, audit_every: int = 16, audit_least: int = 512, recall: float = 1.0, own: bool = False) -> tuple[np.ndarray, np.ndarray, Audit]:
     """near() with the beam widened until, of what sampled queries have in a full scan, the share `recall` is found.
 
     Sampled are every audit_every-th query, and at least audit_least in all. What one has is its links and, so that a sample
-    without links audits too, its nearest row; itself doesn't count (own: queries are the graph's rows).
+    without links audits too, its nearest row; itself doesn't count (own: queries are the graph's rows). The sample alone
+    is searched until a beam will do, then all queries are.
     """
     n = len(graph.unit)
     step = max(1, min(audit_every, len(queries) // audit_least))
@@ -226,18 +238,20 @@ def audited(graph: Graph, queries: np.ndarray, threshold: float, ef: int = 32, a
         alone = (sims[np.arange(len(part)), best] < threshold) & (n > own)
         nearest.append(part[alone] * n + best[alone])
     true, nearest = np.concatenate(true), np.concatenate(nearest)
+    asked = queries[sample]
     while True:
-        q, r = graph.near(queries, threshold, ef)
-        found = int(np.isin(true, q * n + r).sum())
+        q, r = graph.near(asked, threshold, ef)
+        hits = np.isin(true, sample[q] * n + r)
+        found = int(hits.sum())
         for a in range(0, len(nearest), _ROWS):
             part = nearest[a : a + _ROWS]
             ids, _ = graph.beam(queries[part // n], min(ef, n))
-            found += int((ids == (part % n)[:, None]).any(1).sum())
+            found += int(((ids == (part % n)[:, None]).any(1) | np.isin(part % n, graph.apart)).sum())
         total = len(true) + len(nearest)
-        links = np.isin(true, q * n + r).all() if recall >= 1 else True
+        links = hits.all() if recall >= 1 else True
         if ef >= n or (links and found >= min(recall, NEAREST) * total):
-            return q, r, Audit(min(ef, n), total, found)
-        ef *= 4
+            return *graph.near(queries, threshold, ef), Audit(min(ef, n), total, found)
+        ef = _wider(ef, n)
 
 
 FOUND = "key long, links long, other long, shard int, asking int, ef int, audited long, found long"

@@ -82,6 +82,20 @@ def test_large_shards_are_walked():
     assert small.walks >= 200
 
 
+def test_rows_that_few_links_lead_to_are_found():
+    rng = np.random.default_rng(0)
+    unit = rng.normal(size=(3000, 64))
+    unit[:400] = rng.normal(size=64) + rng.uniform(0.01, 0.2, (400, 1)) * rng.normal(size=(400, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    unit = unit[rng.permutation(3000)]
+    truth = {(a, b) for a, b in np.argwhere(unit @ unit.T >= 0.93).tolist() if a != b}
+    made = hnsw.Graph(unit)
+    q, r = made.near(unit.astype(np.float32), 0.93 - 1e-5, 32)
+    assert truth <= set(zip(q.tolist(), r.tolist(), strict=True)) and len(made.apart) < 100
+    made.walks = 0
+    assert hnsw.audited(made, unit.astype(np.float32), 0.93 - 1e-5, own=True)[2].ef == 32 and made.walks < 6000
+
+
 @pytest.mark.parametrize("shard_rows", [8192, 700])
 def test_links_of_large_labels(spark, shard_rows):
     rng = np.random.default_rng(3)
