@@ -30,6 +30,8 @@ LONG, FINE = 1024, 4
 BUCKET = 1 << 22
 #: Tokens that are put in order of buckets at a time.
 PACKED = 1 << 20
+#: Shingles of a cluster's nodes that are held as one tile.
+HELD = 1 << 22
 GROUP = "near_group"
 
 
@@ -171,14 +173,46 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+class _Forest:
+    """Trees of nodes that grow together edge by edge."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        above = self.above
+        while (up := above.get(x, x)) != x:
+            above[x] = x = above.get(up, up)
+        return x
+
+    def tops(self, nodes: np.ndarray) -> np.ndarray:
+        return np.fromiter(map(self.top, nodes.tolist()), np.int64, len(nodes))
+
+    def grow(self, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+        """The edges of these that join two trees."""
+        out = []
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            p, q = self.top(x), self.top(y)
+            if p != q:
+                self.above[max(p, q)] = min(p, q)
+                out.append((x, y))
+        return out
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
 def _others(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): nodes of different components with a token in common whose sizes and sketches leave the threshold possible.
+    """(a, b): a forest that spans the pairs of nodes of different components with a token in common whose sizes and sketches leave the threshold possible.
 
-    A token's nodes are compared where they lie, those of its largest component only with the others, and what cannot be
-    is not given out.
+    A token's nodes are compared where they lie, those of its largest component only with the others. Edges of a task are
+    fewer than its nodes, however many pairs there are: who is to be compared by whole sets is in one tree.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = _Forest()
         for table in _runs(batches):
             token, node, n, component = (table.column(c).to_numpy() for c in ("token", "node", "n", "component"))
             sketch = flat(table.column("sketch"), "u1")[0].reshape(-1, BINS)
@@ -186,7 +220,7 @@ def _others(rows: DataFrame, threshold: float) -> DataFrame:
             token, node, n, component, sketch = token[order], node[order], n[order].astype(np.int64), component[order], sketch[order]
             coarse = sketch.reshape(len(sketch), COARSE, -1).sum(2, dtype=np.int16)
             edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-            found = [np.zeros((0, 2), np.int64)]
+            found = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 kinds, first, count = np.unique(component[a:b], return_index=True, return_counts=True)
                 if len(kinds) < 2:
@@ -197,16 +231,56 @@ def _others(rows: DataFrame, threshold: float) -> DataFrame:
                     left = rest[i : i + TILE]
                     for j in range(a, b, TILE):
                         right = np.arange(j, min(b, j + TILE))
-                        x, y = np.nonzero((component[left][:, None] != component[right]) & _fit(n[left][:, None], n[right], threshold))
+                        x, y = np.nonzero((component[left][:, None] != component[right]) & _fit(n[left][:, None], n[right], threshold) & (forest.tops(node[left])[:, None] != forest.tops(node[right])))
                         x, y = left[x], right[y]
                         for counts in (coarse, sketch):
                             ok = _possible(_apart(counts, x, y), n[x], n[y], threshold)
                             x, y = x[ok], y[ok]
-                        found.append(np.stack([node[x], node[y]], 1))
-            pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                        found += forest.grow(node[x], node[y])
+            yield _edges(found)
+
+    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long")
 
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long").distinct()
+
+def _joined(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): a forest that spans the links between nodes of one cluster and different components, by whole sets; members are (cluster, node, component, hashes).
+
+    A cluster is dealt into tiles by its shingles, and each pair of tiles is a task, so that a large one is spread and held in parts.
+    """
+    sizes = members.groupBy("cluster").agg(F.ceil(F.sum(F.size("hashes")) / HELD).cast("int").alias("tiles"))
+    dealt = members.join(sizes, "cluster").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    met = dealt.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("low", F.least("tile", "x")).withColumn("high", F.greatest("tile", "x"))
+
+    def run(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("node").to_numpy(), kind="stable")
+        node, component, tile = (table.column(c).to_numpy()[order] for c in ("node", "component", "tile"))
+        lists = table.column("hashes").combine_chunks()
+        at, flat_ = lists.offsets.to_numpy(), lists.values.to_numpy()
+        sets = [np.sort(flat_[at[i] : at[i + 1]].view(np.uint64)) for i in order.tolist()]
+        n = np.array([len(x) for x in sets], np.int64)
+        bits = max(8, (int(np.median(n)) // FINE).bit_length())  # few shingles share a bin, also of long sets
+        fine = np.stack([np.minimum(np.bincount((x >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255) for x in sets]).astype(np.uint8)
+        levels = [fine.reshape(len(fine), k, -1).sum(2, dtype=np.int16) for k in (COARSE, BINS)] + ([fine] if bits > 8 else [])
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        sides, forest, found = (np.flatnonzero(tile == low), np.flatnonzero(tile == high)), _Forest(), []
+        for i in range(0, len(sides[0]), TILE):
+            left = sides[0][i : i + TILE]
+            for j in range(i if low == high else 0, len(sides[1]), TILE):
+                right = sides[1][j : j + TILE]
+                x, y = np.nonzero((component[left][:, None] != component[right]) & (left[:, None] < right if low == high else True) & _fit(n[left][:, None], n[right], threshold))
+                x, y = left[x], right[y]
+                for counts in levels:
+                    ok = _possible(_apart(counts, x, y), n[x], n[y], threshold)
+                    x, y = x[ok], y[ok]
+                for p, q in zip(x.tolist(), y.tolist(), strict=True):
+                    if forest.top(int(component[p])) != forest.top(int(component[q])):
+                        shared = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
+                        if shared >= threshold * (n[p] + n[q] - shared) - 1e-9:
+                            forest.grow(component[p : p + 1], component[q : q + 1])
+                            found.append((int(node[p]), int(node[q])))
+        return pa.Table.from_batches([_edges(found)])
+
+    return met.groupBy("cluster", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def _fit(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
@@ -270,7 +344,8 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     repeated rows share one; an empty table gives no rows. No pair is missed: sets that similar share one of their first
     n - ceil(threshold n) + 1 shingles in any one order of all shingles. Of sets that share one, those next to each other by
     SimHash fingerprint and within RADIUS bits are held against each other first, and then all that are not of one component yet, where
-    counts in bins cannot rule them out. What is left is compared by whole sets of 64-bit hashes. Tokens are dealt in buckets, as arrays.
+    counts in bins cannot rule them out: a forest of such pairs tells clusters, and each cluster's whole sets of 64-bit hashes are
+    compared in one place. Tokens are dealt in buckets, as arrays.
     """
     text = F.col(text_col).cast("string")
     kept = docs.select(F.struct(*(keep or docs.columns)).alias("row"), text.alias("text"), F.xxhash64(text).alias("mark"))
@@ -345,9 +420,16 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     several = several.groupBy("all0", "all1", "many").agg(F.min("token").alias("token")).select("token")
     open_ = placed.join(several, "token", "left_semi")
     sketched = nodes.select("node", "sketch").join(open_.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    more = cut(_others(open_.join(sketched, "node"), threshold).join(first, ["a", "b"], "left_anti"))
+    more = cut(_others(open_.join(sketched, "node"), threshold))
+    # who may be alike is in one cluster, and its sets are compared where they come together, each sent once (a large cluster's once a tile)
+    near = components(more).withColumnRenamed("component", "cluster")
+    asked = cut(near.join(known, F.col("node") == F.col("member"), "left").select("cluster", "node", F.coalesce("component", "node").alias("component")))
+    # written, so that their size is known and texts are not shuffled for a few of them
+    marks = cut(nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("mark").alias("mark")).select("mark").distinct())
+    sets_of = texts.join(marks, "mark", "left_semi").dropDuplicates(["mark", "text"]).mapInArrow(whole, "node long, hashes array<long>")
+    members = cut(asked.join(sets_of, "node"))
     drop(placed)
-    links = links.union(verified(more))
+    links = links.union(cut(_joined(members, threshold)))
     # written, so that the engine splits a hot set in the join of all rows
     groups = cut(components(links).withColumnRenamed("node", "member"))
     placed = rows.select("row", "node").join(groups, F.col("node") == F.col("member"), "left")

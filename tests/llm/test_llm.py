@@ -335,3 +335,23 @@ def test_near_copies_are_linked_by_fingerprints_and_long_sets_ruled_out_by_fine_
     rows = [(1, 2, 8000, 8000, bytearray(coarse[0]), bytearray(coarse[k]), bytearray(fine[0]), bytearray(fine[k])) for k in (0, 1)]
     pairs = spark.createDataFrame(rows, "a long, b long, n_a int, n_b int, sketch_a binary, sketch_b binary, fine_a binary, fine_b binary")
     assert similar._bounded(pairs, 0.8).count() == 1
+
+
+def test_pairs_that_may_be_alike_leave_as_forests(spark):
+    rng = np.random.default_rng(5)
+    # 120 sets of 40 shingles that share 34 each: none is alike (34 of 46), but all counts leave it possible
+    low = rng.integers(0, 1 << 56, (121, 6), np.uint64) + (np.arange(6, dtype=np.uint64) << np.uint64(56))
+    base = rng.integers(0, 1 << 63, 34, np.uint64) * np.uint64(2)
+    sets = [np.concatenate([base, x]) for x in low[:120]]
+    sets.append(np.concatenate([sets[7][:39], low[120, :1]]))  # 39 of 41 in common with one of them
+    sketch = [np.bincount((x >> np.uint64(56)).astype(int), minlength=256).astype(np.uint8).tobytes() for x in sets]
+    rows = spark.createDataFrame([(t, k, 40, k, bytearray(sketch[k])) for t in (1, 2) for k in range(121)], "token long, node long, n int, component long, sketch binary").coalesce(1)
+    spans = similar._others(rows, 0.8).collect()
+    assert 120 <= len(spans) <= 240 and {r[0] for r in graph.components(spark.createDataFrame(spans)).select("component").distinct().collect()} == {0}
+    members = spark.createDataFrame([(0, k, k, x.view(np.int64).tolist()) for k, x in enumerate(sets)], "cluster long, node long, component long, hashes array<long>")
+    assert [sorted(r) for r in similar._joined(members, 0.8).collect()] == [[7, 120]]
+    held, similar.HELD = similar.HELD, 1000  # five tiles
+    try:
+        assert [sorted(r) for r in similar._joined(members, 0.8).collect()] == [[7, 120]]
+    finally:
+        similar.HELD = held
