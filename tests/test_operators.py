@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,6 +251,36 @@ def test_candidates(spark):
     assert parts == whole and all(r[3] == 1.0 for r in whole if r[4] == 1)
 
 
+def test_minhash_compares_copies_once(spark, monkeypatch):
+    from kinlink.operators import blocking
+
+    made = [(i, i % 2, ("Mill Lane", "mill lanes", "tarn bridge")[i % 3] if i < 36 else ("", None, "mill lane")[i % 3]) for i in range(48)] + [(3, 1, "mill lane"), (3, 1, "mill lanes"), (None, 1, "Tarn Bridge"), (5, None, "tarn bridge")]
+    table = spark.createDataFrame(made, "id int, b int, t string")
+    seen, real = spark.sparkContext.accumulator(0), blocking.jaccard
+
+    @F.pandas_udf("double")
+    def counted(x: pd.Series) -> pd.Series:
+        seen.add(len(x))
+        return x
+
+    monkeypatch.setattr(blocking, "jaccard", lambda a, b: counted(real(a, b)))
+    got = [tuple(r) for r in blocking.minhash_candidates(table, table, "b", "id", "t").collect()]
+    assert 0 < seen.value <= 2 * 18  # pairs of texts, for the filter and the value; not of rows, nor once a band
+    monkeypatch.setattr(blocking, "jaccard", real)
+    grams = {i: {t.lower()[k : k + 3] for k in range(len(t) - 2)} if t else set() for i, (_, _, t) in enumerate(made)}
+    share = lambda i, j: len(grams[i] & grams[j]) / len(grams[i] | grams[j])
+    near = {(b, p, q, share(i, j)) for i, (p, b, _) in enumerate(made) for j, (q, c, _) in enumerate(made) if b is not None and b == c and grams[i] and grams[j] and share(i, j) >= 0.5}
+    assert sorted(got, key=str) == sorted(near, key=str)
+    with monkeypatch.context() as m:
+        m.setattr(blocking, "TILE", 3)
+        assert sorted(map(tuple, blocking.minhash_candidates(table, table, "b", "id", "t").collect()), key=str) == sorted(near, key=str)
+    links, asked, docs = blocking.minhash_classes(table, table, "b", "id", "t")
+    of = [{(r.block, r.key): r["class"] for r in side.collect()} for side in (asked, docs)]
+    pairs = {tuple(r) for r in links.collect()}
+    spread = {(b, p, q, j) for (b, p), x in of[0].items() for (c, q), y in of[1].items() for d, u, v, j in pairs if b == c == d and (x, y) == (u, v)}
+    assert spread == near and len(pairs) < len(near) / 8
+
+
 def test_every_oracle_has_a_query():
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
