@@ -20,15 +20,19 @@ def overlap() -> Column:
     return sum((F.col(f"{s}_rank").isNotNull().cast("int") for s in STREAMS), F.lit(0))
 
 
-def merge_streams(hits: DataFrame, config: Config = Config()) -> DataFrame:
-    """hits (s1, cand, stream, rank, score) as one row per pair: a rank and score for each stream (null where absent), rrf, overlap, priority.
+def merged(hits: DataFrame, config: Config = Config()) -> DataFrame:
+    """hits (s1, cand, stream, rank, score) as one row per pair: a rank and score for each stream (null where absent), rrf, overlap.
 
-    One aggregation stands for the three-way full join. priority orders by streams, then by name rank, then by id.
+    One aggregation stands for the three-way full join.
     """
     picked = [F.min(F.when(F.col("stream") == s, F.col(c))).alias(f"{s}_{c}") for s in STREAMS for c in ("rank", "score")]
-    wide = hits.groupBy("s1", "cand").agg(*picked).withColumn("rrf", rrf(config)).withColumn("overlap", overlap())
+    return hits.groupBy("s1", "cand").agg(*picked).withColumn("rrf", rrf(config)).withColumn("overlap", overlap())
+
+
+def merge_streams(hits: DataFrame, config: Config = Config()) -> DataFrame:
+    """merged() with priority, which orders by streams, then by name rank, then by id."""
     order = W.partitionBy("s1").orderBy(F.desc("overlap"), F.asc_nulls_last("name_rank"), "cand")
-    return wide.withColumn("priority", F.row_number().over(order))
+    return merged(hits, config).withColumn("priority", F.row_number().over(order))
 
 
 def unseen(hits: DataFrame, seen: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -15,9 +17,11 @@ def hashed_vectors(rows: DataFrame, text: str, size: int = 64) -> DataFrame:
     """rows with vec: counts of hashed trigrams; stands in for an encoder, which callers may give instead."""
     from kinlink.functions.text import trigrams
 
-    slots = F.transform(trigrams(F.col(text)), lambda g: F.pmod(F.xxhash64(g), F.lit(size)).cast("int"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(slots, lambda s: s == i)).cast("double"))
-    return rows.withColumn("vec", vec)
+    @F.pandas_udf("array<double>")
+    def counts(slots: pd.Series) -> pd.Series:
+        return slots.map(lambda x: np.bincount(x, minlength=size).astype(np.float64))
+
+    return rows.withColumn("vec", counts(F.transform(trigrams(F.col(text)), lambda g: F.pmod(F.xxhash64(g), F.lit(size)).cast("int"))))
 
 
 def model_encoder(make_predict: Callable[[], Callable], batch_size: int = 256) -> Callable[[DataFrame, str], DataFrame]:
@@ -53,10 +57,18 @@ def retrieve(queries: DataFrame, targets: DataFrame, config: Config = Config(),
 
 def candidates(queries: DataFrame, targets: DataFrame, config: Config = Config(), encode: Callable[[DataFrame, str], DataFrame] = hashed_vectors, work: str | None = None) -> DataFrame:
     """(s1, cand, cycle, 26 features) of all pairs that any cycle draws."""
+    # a table in one piece would be encoded by one task
+    queries, targets = queries.repartition("id"), targets.repartition("id")
     hits, selves = retrieve(queries, targets, config, encode, work)
-    pairs = merge.merge_streams(hits, config).join(merge.cycles(hits, config), ["s1", "cand"]).join(selves, "s1")
-    side = lambda rows, key, s: encode(rows, "name").select(F.col("id").alias(key), F.col("name").alias(f"name_{s}"), F.col("addr").alias(f"addr_{s}"), vector.unit(F.col("vec")).alias(f"vec_{s}"), F.col("is_cross_script").cast("int").alias(f"cross_{s}"), *([F.col("source").alias("source_b")] if s == "b" else [F.col("country")]))
-    return features.features(pairs.join(side(queries, "s1", "a"), "s1").join(side(targets, "cand", "b"), "cand"), config)
+    pairs = merge.merged(hits, config).join(merge.cycles(hits, config), ["s1", "cand"]).join(selves, "s1")
+    told = lambda s: [F.col("name").alias(f"name_{s}"), F.col("addr").alias(f"addr_{s}"), F.col("is_cross_script").cast("int").alias(f"cross_{s}")]
+    unit = lambda rows, key, s: encode(rows, "name").withColumnRenamed("id", key).withColumn("block", F.col("country")).withColumn(f"vec_{s}", vector.unit(F.col("vec")))
+    # what is short goes with the pairs, vectors only from tile to tile
+    named = pairs.join(queries.select(F.col("id").alias("s1"), "country", *told("a")), "s1").withColumnsRenamed({"s1": "q", "cand": "doc", "country": "block"})
+    asked = unit(queries, "q", "a").select("block", "q", "vec_a")
+    docs = unit(targets, "doc", "b").select("block", "doc", "vec_b", *told("b"), F.col("source").alias("source_b"))
+    met = vector.with_cosines(named, asked, docs)
+    return features.features(met.withColumnsRenamed({"q": "s1", "doc": "cand", "block": "country"}), config)
 
 
 def resolve(queries: DataFrame, targets: DataFrame, score: Callable[[DataFrame], DataFrame], threshold: float, config: Config = Config(), work: str | None = None) -> dict[str, DataFrame]:

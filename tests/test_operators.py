@@ -281,6 +281,35 @@ def test_minhash_compares_copies_once(spark, monkeypatch):
     assert spread == near and len(pairs) < len(near) / 8
 
 
+def test_cosines_of_pairs_are_taken_tile_by_tile(spark):
+    rng = np.random.default_rng(5)
+    made = [[(i, i % 2, [float(x) for x in rng.integers(0, 3, 6)]) for i in range(n)] for n in (9, 23)]
+    made[0][4] = (4, 0, [0.0] * 6)
+    asked, docs = (spark.createDataFrame(m, "id long, b int, v array<double>") for m in made)
+    asked = asked.select(F.col("b").alias("block"), F.col("id").alias("q"), vector.unit(F.col("v")).alias("vec_a"))
+    docs = docs.select(F.col("b").alias("block"), F.col("id").alias("doc"), vector.unit(F.col("v")).alias("vec_b"), F.concat(F.lit("n"), "id").alias("name_b"))
+    pairs = asked.join(docs, "block").where((F.col("q") + F.col("doc")) % 3 != 0).select("block", "q", "doc", (F.col("q") * 100).alias("more"))
+    want = pairs.join(asked, ["block", "q"]).join(docs, ["block", "doc"]).select("block", "q", "doc", "more", "name_b", vector.cosine_feature(F.col("vec_a"), F.col("vec_b")).alias("cosine"))
+    met = vector.with_cosines(pairs, asked, docs, 2, 5)
+    assert met.columns == want.columns and sorted(map(tuple, met.collect())) == sorted(map(tuple, want.collect())) and want.count() > 60
+    for bad in (F.lit(None).cast("array<double>"), F.array(F.lit(float("nan"))), F.array(F.lit(1.0))):
+        with pytest.raises(Exception, match="null, non-finite or of unequal length"):
+            vector.with_cosines(pairs, asked, docs.withColumn("vec_b", F.when(F.col("doc") == 7, bad).otherwise(F.col("vec_b")))).collect()
+
+
+def test_pairs_carry_no_vectors(spark):
+    from kinlink.plans import resolve
+
+    rows = spark.createDataFrame([(i, i % 2, f"acme {i % 5} mill", f"{i} lane", False, "S2") for i in range(12)], "id long, country int, name string, addr string, is_cross_script boolean, source string")
+    got = resolve.candidates(rows, rows, Config(k_base=2, max_seen=4))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and not any("vec_a" in x and "vec_b" in x for x in plan.splitlines())
+    vectors = {r.id: np.array(r.vec) for r in resolve.hashed_vectors(rows, "name").collect()}
+    share = lambda a, b: vectors[a] @ vectors[b] / np.linalg.norm(vectors[a]) / np.linalg.norm(vectors[b])
+    found = got.select("s1", "cand", "dim_7_semantic_cosine").collect()
+    assert len(found) > 24 and all(r[2] == pytest.approx(min(1, share(r.s1, r.cand)), abs=1e-6) for r in found)
+
+
 def test_every_oracle_has_a_query():
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
