@@ -124,7 +124,7 @@ def _packed(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
 
 
 def _met(table: pa.Table, threshold: float) -> pa.Table:
-    """A bucket's tokens that several nodes have, (token, node, n); and, with a null token, (node, other): neighbours at a token, whose sizes allow the threshold.
+    """A bucket's tokens that several nodes have, (token, node, n), without nodes whose sizes rule out all others of the token; and, with a null token, (node, other): neighbours at a token, whose sizes allow the threshold.
 
     Nodes of a token stand side by side by their fingerprints, turned so that each quarter leads once, and neighbours
     within RADIUS bits are paired: pairs are as many as tokens, however many nodes have one. Tokens that five bytes don't
@@ -152,6 +152,11 @@ def _met(table: pa.Table, threshold: float) -> pa.Table:
         at = at[_fit(size[at], size[at + 1], threshold)]
         pairs.append(np.stack([x[at], x[at + 1]], 1))
     pairs = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
+    order = np.lexsort((n, token))
+    token, node, n = token[order], node[order], n[order]
+    close = (token[1:] == token[:-1]) & _fit(n[1:], n[:-1], threshold)
+    some = (np.concatenate([close, [False]]) | np.concatenate([[False], close]))[: len(token)]
+    token, node, n = token[some], node[some], n[some]
     m, k = len(token), len(pairs)
     columns = [pa.concat_arrays([pa.array(token), pa.nulls(k, pa.int64())]), pa.array(np.concatenate([node, pairs[:, 0]])), pa.concat_arrays([pa.array(n, pa.int32()), pa.nulls(k, pa.int32())]), pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(pairs[:, 1])])]
     return pa.table(columns, names=["token", "node", "n", "other"])

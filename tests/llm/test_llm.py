@@ -337,6 +337,14 @@ def test_near_copies_are_linked_by_fingerprints_and_long_sets_ruled_out_by_fine_
     assert similar._bounded(pairs, 0.8).count() == 1
 
 
+def test_nodes_whose_sizes_rule_out_all_others_of_a_token_stay_in_their_bucket():
+    held = [(1, 100), (2, 124), (3, 400), (1, 100), (4, 1000)]  # at two tokens
+    cells = [b"".join(t * 5 for t in (b"\1", b"\1", b"\1", b"\2", b"\2")), *(np.array(x).astype(t).tobytes() for x, t in zip(zip(*held), ("<i8", "<i4"))), np.zeros(5, "<u8").tobytes()]
+    table = pa.table([pa.array([0]), *(pa.array([c]) for c in cells)], names=["bucket", "token", "node", "n", "fp"])
+    assert sorted(r["node"] for r in similar._met(table, 0.8).to_pylist() if r["token"] is not None) == [1, 2]
+    assert not [r for r in similar._met(table, 0.9).to_pylist() if r["token"] is not None]
+
+
 def test_pairs_that_may_be_alike_leave_as_forests(spark):
     rng = np.random.default_rng(5)
     # 120 sets of 40 shingles that share 34 each: none is alike (34 of 46), but all counts leave it possible
