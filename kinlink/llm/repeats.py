@@ -19,7 +19,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinlink.llm.store import cut
 from kinlink.llm.text import CHUNK, binaries, flat, flat_bytes, inverses, mixed, powers, spaced, split_words, word_hashes
@@ -112,6 +113,7 @@ class Batch:
     def __init__(self, table: pa.Table, mail: pa.Table, kind: Kind):
         ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i] or ""))
+        self.order = order
         self.kind, self.ids, self.texts = kind, [ids[i] for i in order], [texts[i] or "" for i in order]
         self.letters = list(zip(*(mail.column(c).to_pylist() for c in ("kind", "key", "payload")), strict=True))
         least = {p[:32]: int(p[32:]) if len(p) > 32 else None for k, _, p in self.letters if k == COPY}
@@ -195,20 +197,23 @@ def _copies(docs: DataFrame, batch) -> DataFrame:
     return homes.join(several, "digest").select("batch", F.lit(COPY).alias("kind"), F.lit(0).cast("long").alias("key"), payload.alias("payload"))
 
 
-def shared(docs: DataFrame, kind: Kind, locate: Callable, finish: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shared(docs: DataFrame, kind: Kind, locate: Callable, finish: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text", carried: str | None = None) -> DataFrame:
     """Run the exchange that the module describes.
 
     locate(docs, weights, lengths, text): for the distinct segments of one shard, (segment, start, end) arrays of ranges
     of units; docs are least ids, weights the number of documents' places that have the segment.
-    finish(batch, buckets): Arrow columns for schema, from what came back to a batch.
+    finish(batch, buckets): Arrow columns for schema, from what came back to a batch, a row for each of its documents.
+    carried: a column of docs that goes with each document to its batch and stands in its row of the result, so that
+    nothing need be joined to it again.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([F.col(carried)] if carried else []))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches, buckets, shards = (total // size + 1 for size in (BATCH, BUCKET, SHARD))
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
     dealt = docs.withColumn("batch", batch)
     copies = _copies(docs, batch)
-    names = schema_names(schema)
+    result = T.StructType([*T.StructType.fromDDL(schema), *([docs.schema[carried]] if carried else [])])
+    arrow = to_arrow_schema(result)
     home = lambda table: table.column("batch")[0].as_py() if len(table) else 0
 
     def send_anchors(table: pa.Table, mail: pa.Table) -> pa.Table:
@@ -278,22 +283,14 @@ def shared(docs: DataFrame, kind: Kind, locate: Callable, finish: Callable, sche
 
     def gather(table: pa.Table, mail: pa.Table) -> pa.Table:
         if not len(table):
-            return pa.table([pa.array([], f.type) for f in schema], schema=schema)
-        return pa.table(finish(Batch(table, mail, kind), buckets), schema=schema)
+            return arrow.empty_table()
+        b = Batch(table, mail, kind)
+        columns = finish(b, buckets) + ([table.column(carried).take(pa.array(b.order)).cast(arrow.field(carried).type)] if carried else [])
+        return pa.table(columns, schema=arrow)
 
     both = lambda mail, f, out: dealt.groupBy("batch").cogroup(mail.groupBy("batch")).applyInArrow(f, out)
     replies = both(copies, send_anchors, "bucket long, batch long, anchors binary").groupBy("bucket").applyInArrow(answer, MAIL)
     replies = copies.unionByName(replies)
     sent = both(replies, send_segments, "shard long, batch long, seg binary, doc binary, weight binary, length binary, text binary")
     marks = sent.groupBy("shard").applyInArrow(look, MAIL)
-    schema_text, schema = schema, arrow_schema(schema)
-    return both(replies.unionByName(marks), gather, schema_text).select(*names)
-
-
-def schema_names(schema: str) -> list[str]:
-    return [part.split()[0] for part in schema.split(", ")]
-
-
-def arrow_schema(schema: str) -> pa.Schema:
-    types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    return pa.schema([(part.split()[0], types[part.split()[1]]) for part in schema.split(", ")])
+    return both(replies.unionByName(marks), gather, result)

@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kinlink.llm.repeats import Batch, Kind, shared
-from kinlink.llm.store import cut
 
 #: Bytes sorted in one suffix array; a routed group with more is several shards, merged by binary search.
 ARRAY_BYTES = 1 << 20
@@ -165,12 +164,12 @@ def _given_back(gone: np.ndarray, raw: bytes, pattern: re.Pattern) -> np.ndarray
     return gone
 
 
-def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool, keep: str | None = None) -> DataFrame:
+def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, digests: bool, keep: str | None = None, carried: str | None = None) -> DataFrame:
     kept_back = re.compile(keep.encode()) if keep else None
 
     def finish(b: Batch, buckets: int) -> list[pa.Array]:
         mask, place = b.covered(buckets), {n: i for i, n in enumerate(b.used)}
-        columns = [], [], [], [], [], []
+        columns = [], [], [], [], []
         for n, t in enumerate(b.texts):
             raw = t.encode()
             data = np.frombuffer(raw, np.uint8)
@@ -185,15 +184,15 @@ def _suffix(docs: DataFrame, size: int, gram: int, id_col: str, text_col: str, d
             kept = data[~gone].tobytes()
             spans = int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum())
             last = hashlib.sha256(kept).hexdigest() if digests else kept.decode("utf-8", "ignore")
-            for column, x in zip(columns, (b.ids[n], len(data), int(gone.sum()), spans, last, hashlib.sha256(raw).digest()), strict=True):
+            for column, x in zip(columns, (b.ids[n], len(data), int(gone.sum()), spans, last), strict=True):
                 column.append(x)
-        return [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string()), pa.array(columns[5], pa.binary())]
+        return [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string())]
 
     def locate(ids, weights, lengths, text):
         return locate_repeats(ids, lengths, text, size)
 
     last = "kept_sha256" if digests else "text"
-    return shared(docs, Kind("bytes", size, gram, True), locate, finish, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} string, text_hash binary", id_col, text_col)
+    return shared(docs, Kind("bytes", size, gram, True), locate, finish, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} string", id_col, text_col, carried)
 
 
 def remove_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,12 +202,12 @@ def remove_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str
     the input stands. A null text is empty; a row with a null id keeps its text and takes nothing from others; repeated
     rows repeat, and rows of one id don't count against each other; an empty table gives no rows.
     """
-    return _suffix(docs, size, gram, id_col, text_col, False).drop("text_hash")
+    return _suffix(docs, size, gram, id_col, text_col, False)
 
 
 def remove_repeats_digests(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """remove_repeats() with kept_sha256, the digest of the remaining bytes, in place of the text."""
-    return _suffix(docs, size, gram, id_col, text_col, True).drop("text_hash")
+    return _suffix(docs, size, gram, id_col, text_col, True)
 
 
 def without_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", keep: str | None = None) -> DataFrame:
@@ -217,12 +216,12 @@ def without_repeats(docs: DataFrame, size: int = 50, gram: int = 18, id_col: str
     keep: a pattern for what stays at the end of a removed run where text follows it, so that it isn't cut in two. Nulls,
     empty tables and repeated rows are as in remove_repeats(); a null text stays null.
     """
-    left = _suffix(docs, size, gram, id_col, text_col, False, keep).where("n_removed > 0")
-    left = cut(left.select(F.col("doc_id").alias("left_id"), F.col("text_hash").alias("left_hash"), F.col("text").alias("left_text")).dropDuplicates(["left_id", "left_hash"]))
-    rows = docs.select(F.struct("*").alias("row_"), F.col(id_col).cast("long").alias("id_"), F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)).alias("hash_"))
-    joined = rows.join(left, (F.col("id_") == F.col("left_id")) & (F.col("hash_") == F.col("left_hash")), "left")
-    changed = F.col("left_id").isNotNull()
-    swap = {text_col: F.when(changed, F.col("left_text")).otherwise(F.col(f"row_.`{text_col}`"))}
-    if length_col in docs.columns:
-        swap[length_col] = F.when(changed, F.length("left_text").cast(docs.schema[length_col].dataType)).otherwise(F.col(f"row_.`{length_col}`"))
-    return joined.select(*(swap.get(c, F.col(f"row_.`{c}`")).alias(c) for c in docs.columns))
+    of = lambda c: "`" + c.replace("`", "``") + "`"
+    text, rest = F.col(of(text_col)), [c for c in docs.columns if c != text_col]
+    # a document's other columns go with its text, which is dealt out once and never joined again
+    rows = docs.select(F.col(of(id_col)).cast("long").alias("doc_id"), text.cast("string").alias("text"), F.struct(F.struct(*(F.col(of(c)) for c in rest)).alias("rest"), text.isNull().alias("none")).alias("row_"))
+    made = _suffix(rows, size, gram, "doc_id", "text", False, keep, "row_")
+    swap = {text_col: F.when(~F.col("row_.none"), F.col("text"))}
+    if length_col in rest:
+        swap[length_col] = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema[length_col].dataType)).otherwise(F.col(f"row_.rest.{of(length_col)}"))
+    return made.select(*((swap[c] if c in swap else F.col(f"row_.rest.{of(c)}")).alias(c) for c in docs.columns))

@@ -1,5 +1,6 @@
 """Graphs, tiles, automata, suffix arrays and code points at sizes where the method's every part has work to do."""
 
+import datetime as dt
 import hashlib
 import random
 import re
@@ -343,3 +344,20 @@ def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 400)] + [(1000, 1000 + k) for k in range(1, 300)] + [(5000, 4999), (5000, 5001)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long").withColumn("c", F.lit(1))).collect()}
     assert got == {i: 0 for i in range(401)} | {1000 + k: 1000 for k in range(300)} | {4999: 4999, 5000: 4999, 5001: 4999}
+
+
+def test_documents_are_dealt_once_with_all_their_columns(spark):
+    passage, day = "a passage of well over fifty bytes that several of the documents have in common, ", dt.datetime(2024, 5, 6, 7, 8, 9)
+    made = [(1, passage + "x"), (2, passage + "y"), (2, passage + "y"), (2, "z" + passage), (None, passage), (None, None), (3, None), (4, ""), (5, passage), (6, "über " + passage), (1, passage + "x")]
+    rows = [(i, t, None if t is None else 7, day if n % 2 else None, [n, None], {"k": n}, (str(n), None), None) for n, (i, t) in enumerate(made)]
+    table = spark.createDataFrame(rows, "doc_id int, text string, n_chars int, `a.b day` timestamp, list array<int>, map map<string,int>, both struct<x:string,y:date>, none string")
+    left = {2: ("y", "z"), 5: ("",), 6: ("über ",)}
+    want = []
+    for i, t, n, *rest in rows:
+        short = t.replace(passage, "") if t and i in left else t
+        want.append((i, short, n if short == t else len(short), *rest))
+    out = suffix.without_repeats(table)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("FlatMapCoGroupsInArrow")[0]
+    assert out.columns == table.columns and Counter(map(str, map(tuple, out.collect()))) == Counter(str(tuple(spark.createDataFrame([w], table.schema).first())) for w in want)
+    assert suffix.without_repeats(table.limit(0)).count() == 0
+    assert "Exchange" not in plan and "Join" not in plan  # no text is dealt again to be joined
