@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from kinlink.llm.graph import components
 from kinlink.llm.simhash import majority
-from kinlink.llm.store import cut, drop, tidy
+from kinlink.llm.store import batches_of, cut, drop, tidy
 from kinlink.llm.text import ODD, binaries, flat, rows_of, slices, spaced, split_words, texts_of, word_hashes
 
 #: Shingles that HEAVY of about SAMPLE documents share come last in the order of shingles. This steers only the time taken.
@@ -32,6 +32,10 @@ BUCKET = 1 << 22
 PACKED = 1 << 20
 #: Shingles of a cluster's nodes that are held as one tile.
 HELD = 1 << 22
+#: Bytes of text whose shingles are made at a time, and rows that executors send to Python at a time: memory follows both.
+SLICE, ROWS = 1 << 20, 2048
+#: Bits of a filter for each of its values, the power of two that it has at most, and places that each value has in it.
+FILTER, WIDEST, PLACES = 16, 27, 4
 GROUP = "near_group"
 
 
@@ -102,6 +106,52 @@ def _nodes(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mixed((total[at[1:]] - total[at[:-1]]) ^ np.diff(at).astype(np.uint64)).view(np.int64)
 
 
+def _places(values: np.ndarray, bits: int) -> np.ndarray:
+    """The places of each value among so many bits, a row for each of PLACES hashes."""
+    return np.stack([_mixed(values.view(np.uint64) + np.uint64((k + 1) * ODD % (1 << 64))) >> np.uint64(64 - bits) for k in range(PLACES)])
+
+
+def _matching(values: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """A function that tells of longs which ones may be in the only column of values: all that are, and of others one in 400 or so.
+
+    Its bits are set by executors. A table of few of whose rows are asked for is filtered by it where it lies and need not
+    be dealt out to be joined. Beyond 8 million values it lets more through, which costs time alone.
+    """
+    bits = min(WIDEST, max(16, (FILTER * values.count()).bit_length()))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.unique(_places(batch.column(0).to_numpy(), bits)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(place >> 16), pa.array((place & 0xFFFF).astype(np.int32))], names=["part", "place"])
+
+    def set_(table: pa.Table) -> pa.Table:
+        mask = np.zeros(1 << 16, bool)
+        mask[table.column("place").to_numpy()] = True
+        return pa.table([table.column("part").slice(0, 1), pa.array([np.packbits(mask).tobytes()], pa.binary())], names=["part", "bits"])
+
+    made = np.zeros((1 << (bits - 16), 1 << 13), np.uint8)
+    for r in values.mapInArrow(spread, "part long, place int").groupBy("part").applyInArrow(set_, "part long, bits binary").collect():
+        made[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    made = made.ravel()
+
+    def matching(x: np.ndarray) -> np.ndarray:
+        place = _places(x, bits)
+        return (made[place >> np.uint64(3)] >> (7 - (place & np.uint64(7))).astype(np.uint8) & 1).all(0)
+
+    return matching
+
+
+def _asked(rows: DataFrame, column: str, matching: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Rows whose column may be in the table that matching is made of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(found := np.flatnonzero(matching(batch.column(column).to_numpy()))):
+                yield batch.take(pa.array(found))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _packed(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     """The tokens of a batch's distinct nodes, one row a bucket: five bytes of the token, and its node, size and fingerprint, as binaries."""
     node, n, prefix = batch.column("node").to_numpy(), batch.column("n").to_numpy(), batch.column("prefix")
@@ -342,6 +392,7 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 @tidy
+@batches_of(ROWS)
 def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """Columns `keep` of docs (all unless given), whatever their names, and group, for each row: documents joined by pairs whose shingles of `size` words have Jaccard >= threshold.
 
@@ -359,7 +410,7 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     count = docs.count()
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches, SLICE):
             yield pa.RecordBatch.from_arrays([pa.array(_shingles(texts_of(batch), size, *none)[0].view(np.int64))], names=["token"])
 
     sample = texts.where(F.pmod(F.hash("mark"), F.lit(max(1, count // SAMPLE))) == 0)
@@ -370,7 +421,7 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     names = ["row", "mark", "node", "n", "fp", "sketch", "fine", "prefix"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches, SLICE):
             hashes, at = _shingles(texts_of(batch), size, heavy, weight)
             n, row = np.diff(at), rows_of(at)
             prefix = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
@@ -381,7 +432,7 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches, SLICE):
             hashes, at = _shingles(texts_of(batch), size, *none)
             yield pa.RecordBatch.from_arrays([pa.array(_nodes(hashes, at)), _lists(hashes, at)], names=["node", "hashes"])
 
@@ -399,18 +450,22 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     dealt = cut(packed.groupBy("bucket").applyInArrow(lambda t: _met(t, threshold), "token long, node long, n int, other long"))
     nodes = rows.select("node", "n", "sketch", "fine", "mark")
 
+    def sets_for(marks: DataFrame) -> DataFrame:
+        """(node, hashes) of each distinct text that has one of these marks, and of a few others; no other text leaves its place."""
+        return _asked(texts, "mark", _matching(marks)).dropDuplicates(["mark", "text"]).mapInArrow(whole, "node long, hashes array<long>")
+
     def verified(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        asked = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         # sizes and sketches of what is asked for, one row a node
-        sides = cut(nodes.join(asked, "node", "left_semi").dropDuplicates(["node"]))
+        sides = cut(_asked(nodes, "node", _matching(asked)).join(asked, "node", "left_semi").dropDuplicates(["node"]))
         side = lambda x: sides.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"), F.col("fine").alias(f"fine_{x}"))
         likely = cut(_bounded(pairs.join(side("a"), "a").join(side("b"), "b"), threshold))
-        asked = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-        marks = sides.join(asked, "node", "left_semi").select("mark").distinct()
-        sets_of = cut(texts.join(marks, "mark", "left_semi").dropDuplicates(["text"]).mapInArrow(whole, "node long, hashes array<long>").dropDuplicates(["node"]))
+        wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        marks = cut(sides.join(wanted, "node", "left_semi").select("mark").distinct())
+        sets_of = cut(sets_for(marks))
         side = lambda x, name: sets_of.select(F.col("node").alias(x), F.col("hashes").alias(name))
         out = cut(_verified(likely.join(side("a", "left"), "a").join(side("b", "right"), "b"), threshold))
-        for table in (sides, likely, sets_of):
+        for table in (asked, sides, likely, marks, sets_of):
             drop(table)
         return out
 
@@ -429,10 +484,8 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, keep:
     # who may be alike is in one cluster, and its sets are compared where they come together, each sent once (a large cluster's once a tile)
     near = components(more).withColumnRenamed("component", "cluster")
     asked = cut(near.join(known, F.col("node") == F.col("member"), "left").select("cluster", "node", F.coalesce("component", "node").alias("component")))
-    # written, so that their size is known and texts are not shuffled for a few of them
     marks = cut(nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("mark").alias("mark")).select("mark").distinct())
-    sets_of = texts.join(marks, "mark", "left_semi").dropDuplicates(["mark", "text"]).mapInArrow(whole, "node long, hashes array<long>")
-    members = cut(asked.join(sets_of, "node"))
+    members = cut(asked.join(sets_for(marks), "node"))
     drop(placed)
     links = links.union(cut(_joined(members, threshold)))
     # written, so that the engine splits a hot set in the join of all rows

@@ -66,3 +66,23 @@ def tidy(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         return out
 
     return run
+
+
+def batches_of(rows: int) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """A decorator: while f (whose first argument is a DataFrame) runs, executors send Python so many rows at a time at most, so that long texts take less memory. The session's setting stands again afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def held(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(f)
+        def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+            conf = df.sparkSession.conf
+            before = conf.get(key)
+            conf.set(key, str(rows if int(before) <= 0 else min(rows, int(before))))
+            try:
+                return f(df, *args, **kwargs)
+            finally:
+                conf.set(key, before)
+
+        return run
+
+    return held

@@ -363,3 +363,31 @@ def test_pairs_that_may_be_alike_leave_as_forests(spark):
         assert [sorted(r) for r in similar._joined(members, 0.8).collect()] == [[7, 120]]
     finally:
         similar.HELD = held
+
+
+def test_texts_that_are_not_asked_for_stay_where_they_lie(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    asked, others = rng.integers(-(1 << 63), 1 << 63, 5000), rng.integers(-(1 << 63), 1 << 63, 50_000)
+    matching = similar._matching(spark.createDataFrame([(int(x),) for x in asked], "node long"))
+    assert matching(asked).all() and matching(others).mean() < 0.01
+    assert not similar._matching(spark.createDataFrame([], "node long"))(others).any()
+    # a set of near copies among others: no join of texts, rows for Python in small batches, the session's setting as it was
+    key, plans, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", [], []
+
+    def recorded(df, cut=similar.cut):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        seen.append(spark.conf.get(key))
+        return cut(df)
+
+    monkeypatch.setattr(similar, "cut", recorded)
+    words = [[f"w{x}" for x in rng.integers(0, 10**6, 60)] for _ in range(30)]
+    words += [words[0][:-2] + ["x", "y"], words[1][1:]]
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+    most, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get(key)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        groups = {r.doc_id: r[similar.GROUP] for r in similar.similar_groups(table).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert groups[0] == groups[30] and groups[1] == groups[31] and len(set(groups.values())) == 30
+    assert not any("Join [mark" in p for p in plans) and set(seen) == {"2048"} and spark.conf.get(key) == before
