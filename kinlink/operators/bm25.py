@@ -8,38 +8,41 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kinlink.config import Config
 from kinlink.functions.text import ngrams
-from kinlink.operators.best import best, sizes
+from kinlink.operators.best import searched, sizes
 
 #: Documents that are searched at a time.
-HEAVY = 8192
+HEAVY = 32768
 
 
 @dataclass
 class Index:
-    """postings (block, tok, doc, tf, dl), idf (block, tok, idf) and stats (block, n, avgdl); blocks are open."""
+    """rows (block, doc, toks, dl), idf (block, tok, idf) and stats (block, n, avgdl); blocks are open."""
 
-    postings: DataFrame
+    rows: DataFrame
     idf: DataFrame
     stats: DataFrame
 
 
-def token_counts(rows: DataFrame, block: str, key: str, text: str, config: Config = Config()) -> DataFrame:
-    """(block, doc, tok, tf, dl): one row for each distinct n-gram of a row's text. Nothing is shuffled by document: counts are made in place."""
-    grams = rows.select(F.col(block).alias("block"), F.col(key).alias("doc"), ngrams(F.col(text), config.ngram).alias("g"))
-    exploded = grams.select("block", "doc", F.size("g").cast("long").alias("dl"), F.explode("g").alias("tok"))
-    return exploded.groupBy("block", "doc", "tok").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
+def _listed(rows: DataFrame, block: str, key: str, text: str, config: Config, to: str = "doc") -> DataFrame:
+    """(block, {to}, toks): each row's n-grams with repeats."""
+    return rows.select(F.col(block).alias("block"), F.col(key).alias(to), ngrams(F.col(text), config.ngram).alias("toks"))
 
 
 def build(rows: DataFrame, block: str, key: str, text: str, config: Config = Config()) -> Index:
-    """The index of rows by block; empty texts count as documents. A negative idf becomes epsilon times the block's mean idf."""
-    postings = token_counts(rows, block, key, text, config)
-    lengths = rows.select(F.col(block).alias("block"), F.size(ngrams(F.col(text), config.ngram)).alias("dl"))
-    stats = lengths.groupBy("block").agg(F.count(F.lit(1)).alias("n"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
-    df = postings.groupBy("block", "tok").agg(F.count(F.lit(1)).alias("df"))
+    """The index of rows by block; empty texts count as documents. A negative idf becomes epsilon times the block's mean idf.
+
+    A key's texts are one document, as long as the first that has n-grams. Texts and counts by block and token are shuffled, no row a token.
+    """
+    size = F.size(ngrams(F.col(text), config.ngram))
+    stats = rows.groupBy(F.col(block).alias("block")).agg(F.count(F.lit(1)).alias("n"), (F.sum(size) / F.count(F.lit(1))).alias("avgdl"))
+    texts = rows.groupBy(F.col(block).alias("block"), F.col(key).alias("doc")).agg(F.collect_list(text).alias("texts"))
+    grams = texts.select("block", "doc", F.filter(F.transform("texts", lambda t: ngrams(t, config.ngram)), lambda g: F.size(g) > 0).alias("g"))
+    listed = grams.where(F.size("g") > 0).select("block", "doc", F.flatten("g").alias("toks"), F.size(F.get("g", F.lit(0))).cast("double").alias("dl"))
+    df = listed.select("block", F.explode(F.array_distinct("toks")).alias("tok")).groupBy("block", "tok").agg(F.count(F.lit(1)).alias("df"))
     raw = df.join(stats, "block").select("block", "tok", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
     mean = raw.groupBy("block").agg(F.avg("raw").alias("mean"))
     idf = raw.join(mean, "block").select("block", "tok", F.when(F.col("raw") >= 0, F.col("raw")).otherwise(config.bm25_epsilon * F.col("mean")).alias("idf"))
-    return Index(postings, idf, stats)
+    return Index(listed, idf, stats)
 
 
 def weight(config: Config) -> Column:
@@ -51,18 +54,24 @@ def weight(config: Config) -> Column:
 def search(queries: DataFrame, index: Index, block: str, key: str, text: str, k: int, config: Config = Config()) -> DataFrame:
     """(block, q, doc, score, rank): the k best documents of each query's block, scores above 0 only, ties by doc.
 
-    Tiles of queries and documents are scored where they lie, and of each pair of tiles a query's k best are given out.
+    Tiles of queries and documents are scored where they lie, and of each pair of tiles a query's k best are given out. Rows
+    go to tiles with their n-grams in lists, and are weighed there.
     """
     if k <= 0:
         raise ValueError(f"k must be positive, not {k}")
-    weighted = index.postings.join(index.idf, ["block", "tok"]).join(index.stats, "block").select("block", "doc", "tok", weight(config).alias("w"))
-    asked = token_counts(queries, block, key, text, config).join(index.idf, ["block", "tok"]).select("block", F.col("doc").alias("q"), "tok", F.col("tf").cast("double").alias("w"))
-    return best(asked, weighted, k, (sizes(queries, block), index.stats.select("block", "n")), HEAVY).where("score > 0")
+    asked = _listed(queries, block, key, text, config, "q").where(F.size("toks") > 0).withColumn("ws", F.lit(None))
+    k1, b = config.bm25_k1, config.bm25_b
+    known = index.idf.join(index.stats.select("block", "avgdl"), "block")
+    weigh = lambda idf, tf, dl, avgdl: idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
+    of = (sizes(queries, block), index.stats.select("block", "n"))
+    return searched(asked, index.rows.withColumn("ws", F.array("dl")), k, of, HEAVY, known, weigh).where("score > 0")
 
 
 def self_scores(rows: DataFrame, index: Index, block: str, key: str, text: str, config: Config = Config()) -> DataFrame:
     """(block, doc, self_score): each row's score against itself, at least the floor; unknown tokens weigh nothing."""
-    own = token_counts(rows, block, key, text, config).join(index.idf, ["block", "tok"], "left").na.fill(0.0, ["idf"]).join(index.stats, "block")
+    listed = _listed(rows, block, key, text, config).select("block", "doc", F.size("toks").cast("long").alias("dl"), F.explode("toks").alias("tok"))
+    counts = listed.groupBy("block", "doc", "tok").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
+    own = counts.join(index.idf, ["block", "tok"], "left").na.fill(0.0, ["idf"]).join(index.stats, "block")
     scored = own.groupBy("block", "doc").agg(F.sum(F.col("tf") * weight(config)).alias("s"))
     base = rows.select(F.col(block).alias("block"), F.col(key).alias("doc"))
     return base.join(scored, ["block", "doc"], "left").select("block", "doc", F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(config.self_score_floor)).alias("self_score"))

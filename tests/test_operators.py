@@ -1,6 +1,7 @@
 import json
 import math
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -325,3 +326,28 @@ def test_best_documents_of_a_hot_block_go_by_tiles(spark, monkeypatch):
     parts = bm25.search(rows, index, "b", "id", "t", 9)
     got = sorted(map(tuple, parts.collect()))
     assert len(got) == 540 and got == sorted(map(tuple, whole.collect()))
+
+
+def test_search_by_tokens_holds_no_tile_as_a_list(spark):
+    made = [(i, "b" if i % 4 else "c", f"abc{i % 7}xyz{i % 3}" if i % 9 else None) for i in range(90)] + [(5, "b", "xyz1abc5"), (95, None, "abc1xyz1")]
+    rows = spark.createDataFrame(made, "id long, b string, t string")
+    found = bm25.search(rows, bm25.build(rows, "b", "id", "t"), "b", "id", "t", 6)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # texts of a key are gathered before they are cut into tokens; no row a token is joined
+    assert not any(x in line for line in plan.splitlines() for x in ("collect_list(struct", "tf#")) and "first(" not in plan
+    texts = defaultdict(lambda: defaultdict(list))
+    for i, b, t in made:
+        if b:
+            texts[b][i] += [t[k : k + 3] for k in range(len(t) - 2)] if t else []
+    want = {}
+    for b, of in texts.items():
+        n = sum(x[1] == b for x in made)
+        average = sum(map(len, of.values())) / n
+        df = Counter(g for x in of.values() for g in set(x))
+        raw = {g: math.log(n - c + 0.5) - math.log(c + 0.5) for g, c in df.items()}
+        idf = {g: x if x >= 0 else 0.25 * sum(raw.values()) / len(raw) for g, x in raw.items()}
+        for i, x in of.items():
+            scores = {j: sum(idf[g] * (tf := y.count(g)) * 2.5 / (tf + 1.5 * (0.25 + 0.75 * 6 / average)) for g in x if g in y) for j, y in of.items()}
+            want |= {(b, i, j): s for s, j in sorted((-round(s, 6), j) for j, s in scores.items() if round(s, 6) > 0)[:6]}
+    got = {(r.block, r.q, r.doc): -r.score for r in found.collect()}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 2e-6 for p in got)
