@@ -78,6 +78,33 @@ def cycles(hits: DataFrame, config: Config = Config()) -> DataFrame:
     return ranked.select("s1", F.explode(run(*sorted(STREAMS))).alias("x")).select("s1", "x.cand", "x.cycle")
 
 
+def drawn(hits: DataFrame, config: Config = Config(), parts: int | None = None) -> DataFrame:
+    """The rows of merged() that cycles() draws, with their cycle: both in one shuffle by entity, without hits that are not drawn.
+
+    hits may have any number of rows an entity; those below max_rank count too where another stream draws their candidate. parts: so many tasks take the entities.
+    """
+    types = dict(hits.dtypes)
+    names, most = sorted(STREAMS), config.max_rank
+    listed = lambda s: F.array_sort(F.collect_list(F.when(F.col("stream") == s, F.struct("rank", "cand", "score")))).alias(s)
+    each = (hits.repartition(parts, "s1") if parts else hits).groupBy("s1").agg(*map(listed, names)).select("s1", *(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in names for c in ("rank", "cand", "score")))
+    fields = [("cand", types["cand"]), ("cycle", "int"), *((f"{s}_{c}", types[c]) for s in names for c in ("rank", "score"))]
+
+    @F.pandas_udf(", ".join(f"{n} array<{t}>" for n, t in fields))
+    def run(*columns: pd.Series) -> pd.DataFrame:
+        out = []
+        for row in zip(*columns, strict=True):
+            row = [v.tolist() if hasattr(v, "tolist") else list(v) for v in row]
+            told = [dict(zip(reversed(c), zip(reversed(r), reversed(x), strict=True), strict=True)) for r, c, x in zip(row[::3], row[1::3], row[2::3], strict=True)]
+            picked = _drawn([[c for r, c in zip(*row[i : i + 2], strict=True) if r <= most] for i in range(0, len(row), 3)], config.k_base, config.max_seen)
+            found = [[t.get(c, (None, None)) for c, _ in picked] for t in told]
+            out.append([[c for c, _ in picked], [n for _, n in picked], *([x[i] for x in f] for f in found for i in (0, 1))])
+        return pd.DataFrame(out, columns=[n for n, _ in fields])
+
+    given = [f"{s}_{c}" for s in names for c in ("rank", "cand", "score")]
+    rows = each.select("s1", run(*given).alias("x")).select("s1", F.explode(F.arrays_zip(*(F.col(f"x.{n}").alias(n) for n, _ in fields))).alias("z")).select("s1", *(F.col(f"z.{n}").alias(n) for n, _ in fields))
+    return rows.withColumn("rrf", rrf(config)).withColumn("overlap", overlap())
+
+
 def stop(scored: DataFrame, threshold: float, config: Config = Config()) -> DataFrame:
     """scored (s1, cand, cycle, prob) up to the stopping cycle, with accepted = prob > threshold.
 

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from kinlink.config import Config
 from kinlink.operators import bm25, features, merge, outputs, vector
+from kinlink.operators.best import SORTED
 
 
 def hashed_vectors(rows: DataFrame, text: str, size: int = 64) -> DataFrame:
@@ -34,9 +36,9 @@ def model_encoder(make_predict: Callable[[], Callable], batch_size: int = 256) -
 
 
 def _kept(rows: DataFrame, work: str | None, name: str) -> DataFrame:
-    """rows written under work and read back, or persisted where there is no such folder: what several results share is made once."""
+    """rows written under work and read back, or persisted on disk where there is no such folder: what several results share is made once, and stays off the heap."""
     if work is None:
-        return rows.persist()
+        return rows.persist(StorageLevel.DISK_ONLY)
     rows.write.mode("overwrite").parquet(f"{work}/{name}")
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{work}/{name}")
 
@@ -46,25 +48,30 @@ def retrieve(queries: DataFrame, targets: DataFrame, config: Config = Config(),
     k, streams, selves = config.max_rank, [], []
     for stream in ("name", "addr"):
         made = bm25.build(targets, "country", "id", stream, config)
-        index = bm25.Index(*(_kept(getattr(made, t), work, f"{stream}_{t}") for t in made.__dataclass_fields__))
+        # rows are texts cut anew, and statistics a few rows a block, that need few tasks
+        few = targets.sparkSession.sparkContext.defaultParallelism
+        index = bm25.Index(made.rows, *(_kept(getattr(made, t).coalesce(few), work, f"{stream}_{t}") for t in ("idf", "stats")))
         streams.append(bm25.search(queries, index, "country", "id", stream, k, config).withColumn("stream", F.lit(stream)))
         selves.append(bm25.self_scores(queries, index, "country", "id", stream, config).select("block", "doc", F.col("self_score").alias(f"{stream}_self")))
     dense = vector.search(encode(queries, "name"), encode(targets, "name"), "country", "id", "vec", k)
     streams.append(dense.withColumn("stream", F.lit("vector")))
     hits = streams[0].unionByName(streams[1]).unionByName(streams[2]).select(F.col("q").alias("s1"), F.col("doc").alias("cand"), "stream", "rank", "score")
-    return _kept(hits, work, "hits"), selves[0].join(selves[1], ["block", "doc"]).select(F.col("doc").alias("s1"), "name_self", "addr_self")
+    return hits, selves[0].join(selves[1], ["block", "doc"]).select(F.col("doc").alias("s1"), "name_self", "addr_self")
 
 
 def candidates(queries: DataFrame, targets: DataFrame, config: Config = Config(), encode: Callable[[DataFrame, str], DataFrame] = hashed_vectors, work: str | None = None) -> DataFrame:
     """(s1, cand, cycle, 26 features) of all pairs that any cycle draws."""
-    # a table in one piece would be encoded by one task
-    queries, targets = queries.repartition("id"), targets.repartition("id")
+    # a table in one piece would be encoded by one task, as would a small one whose parts were put together again
+    tasks = 4 * queries.sparkSession.sparkContext.defaultParallelism
+    queries, targets = queries.repartition(tasks, "id"), targets.repartition(tasks, "id")
     hits, selves = retrieve(queries, targets, config, encode, work)
-    pairs = merge.merged(hits, config).join(merge.cycles(hits, config), ["s1", "cand"]).join(selves, "s1")
+    # pairs lie by s1 as they are drawn, and what joins them there goes to them and is never broadcast
+    most = queries.count() * len(merge.STREAMS) * config.max_rank
+    pairs = merge.drawn(hits, config, max(tasks, most // SORTED + 1)).join(selves.hint("merge"), "s1")
     told = lambda s: [F.col("name").alias(f"name_{s}"), F.col("addr").alias(f"addr_{s}"), F.col("is_cross_script").cast("int").alias(f"cross_{s}")]
     unit = lambda rows, key, s: encode(rows, "name").withColumnRenamed("id", key).withColumn("block", F.col("country")).withColumn(f"vec_{s}", vector.unit(F.col("vec")))
     # what is short goes with the pairs, vectors only from tile to tile
-    named = pairs.join(queries.select(F.col("id").alias("s1"), "country", *told("a")), "s1").withColumnsRenamed({"s1": "q", "cand": "doc", "country": "block"})
+    named = pairs.join(queries.select(F.col("id").alias("s1"), "country", *told("a")).hint("merge"), "s1").withColumnsRenamed({"s1": "q", "cand": "doc", "country": "block"})
     asked = unit(queries, "q", "a").select("block", "q", "vec_a")
     docs = unit(targets, "doc", "b").select("block", "doc", "vec_b", *told("b"), F.col("source").alias("source_b"))
     met = vector.with_cosines(named, asked, docs)

@@ -351,3 +351,15 @@ def test_search_by_tokens_holds_no_tile_as_a_list(spark):
             want |= {(b, i, j): s for s, j in sorted((-round(s, 6), j) for j, s in scores.items() if round(s, 6) > 0)[:6]}
     got = {(r.block, r.q, r.doc): -r.score for r in found.collect()}
     assert set(got) == set(want) and all(abs(got[p] - want[p]) < 2e-6 for p in got)
+
+
+def test_drawn_pairs_need_one_shuffle_of_hits(spark):
+    rng = random.Random(9)
+    made = [(s, c, stream, k + 1, float(50 - k)) for s in range(12) for stream in merge.STREAMS if (s, stream) != (3, "addr") for k, c in enumerate(rng.sample(range(60), 30))]
+    hits = spark.createDataFrame(made, "s1 long, cand long, stream string, rank int, score double")
+    config = Config(k_base=4, max_seen=15)
+    want = merge.merged(hits, config).join(merge.cycles(hits, config), ["s1", "cand"])
+    for parts in (None, 3):
+        got = merge.drawn(hits, config, parts)
+        assert set(got.columns) == set(want.columns) and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())) and want.count() > 150
